@@ -1,56 +1,55 @@
-"""Arrays per key that never hold more than about one partition's rows."""
+"""Arrays per key that never hold more than about one partition's entries."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.operators.skew import heavy_keys, with_parts
 from rankweave.runtime import shuffle_partitions
 
 # A list this long is still an easy row, whatever the share of its key.
 MIN_LIST_BOUND = 1_000_000
 
 
-def list_bound(total: Column, partitions: int, max_list: int | None) -> Column:
-    """Rows a key may hold before it is split: an average partition, but no fewer than the floor.
+def long_lists(rows: DataFrame, key: str, size: Column, max_list: int | None = None) -> tuple[DataFrame, Column]:
+    """Keys to split, and the entries a list may have: an average partition's, but no fewer than the floor.
 
-    Fewer than ``partitions`` keys can each hold more than ``total / partitions``
-    rows, so the table of split keys is small enough to broadcast at any scale.
+    ``max_list`` lowers the floor. Both stay lazy: the total is a scalar subquery.
     """
-    floor = MIN_LIST_BOUND if max_list is None else max_list
-    return F.greatest(F.lit(floor).cast("double"), total / partitions)
+    floor = MIN_LIST_BOUND if max_list is None else max(int(max_list), 1)
+    sizes = rows.groupBy(key).agg(F.sum(size).alias("entries"))
+    total = sizes.agg(F.sum("entries")).scalar()
+    bound = F.greatest(F.lit(float(floor)), total / shuffle_partitions(rows.sparkSession))
+    return heavy_keys(sizes, key, "entries", bound), bound
 
 
-def collect_lists(
-    rows: DataFrame, key: str, items: list[str], name: str, max_list: int | None = None, copies: str | None = None
+def collect_items(rows: DataFrame, key: str, items: list[str], name: str, heavy: DataFrame) -> DataFrame:
+    """One sorted array of ``items``, distinct within their key, per key and ``part``."""
+    item = F.col(items[0]) if len(items) == 1 else F.struct(*items)
+    part = F.pmod(F.xxhash64(*items), F.col("parts"))
+    return (
+        with_parts(rows, key, heavy)
+        .groupBy(key, part.alias("part"))
+        .agg(F.array_sort(F.collect_list(item)).alias(name))
+    )
+
+
+def collect_copies(
+    rows: DataFrame, key: str, item: str, copies: str, name: str, heavy: DataFrame, bound: Column
 ) -> DataFrame:
-    """One sorted array of ``items`` per key; a key above the bound gets several rows instead.
+    """Like ``collect_items`` with each item as often as ``copies`` says.
 
-    ``items`` must be distinct within a key; with ``copies`` each stands for that
-    many equal entries. ``max_list`` lowers the floor under which no key is split.
+    Many copies of one item come in chunks, so that they can be spread as well.
     """
-    size = F.lit(1) if copies is None else F.col(copies)
-    counts = rows.groupBy(key).agg(F.sum(size).alias("entries"))
-    bound = list_bound(
-        counts.agg(F.sum("entries")).scalar(), shuffle_partitions(rows.sparkSession), max_list
-    )
-    parts = F.ceil(F.col("entries") / bound)
-    heavy = counts.where(F.col("entries") > bound).select(F.col(key).alias("heavy_key"), parts.alias("parts"))
-
-    split = rows.join(F.broadcast(heavy), F.col(key) == F.col("heavy_key"), "left")
-    item = F.col(items[0]) if len(items) == 1 else F.struct(*items)
-    if copies is None:
-        spread, collected = F.xxhash64(*items), F.collect_list(item)
-    else:
-        # Equal entries come in chunks, so that copies of one item can be split too.
-        split = split.withColumn("bound", bound.cast("long"))
-        chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / F.col("bound")))
-        split = split.withColumn("chunk", F.explode(chunks))
-        chunk_size = F.least("bound", F.col(copies) - F.col("chunk") * F.col("bound")).cast("int")
-        spread, collected = F.xxhash64(*items, "chunk"), F.flatten(F.collect_list(F.array_repeat(item, chunk_size)))
-    part = F.pmod(spread, F.coalesce("parts", F.lit(1)))
+    limit = F.col("limit")
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / limit))
+    chunk_size = F.least(limit, F.col(copies) - F.col("chunk") * limit).cast("int")
+    part = F.pmod(F.pmod(F.xxhash64(item), F.col("parts")) + F.col("chunk"), F.col("parts"))
     return (
-        split.groupBy(key, part.alias("part"))
-        .agg(F.array_sort(collected).alias(name))
-        .select(key, name)
+        with_parts(rows, key, heavy)
+        .withColumn("limit", bound.cast("long"))
+        .withColumn("chunk", F.explode(chunks))
+        .groupBy(key, part.alias("part"))
+        .agg(F.array_sort(F.flatten(F.collect_list(F.array_repeat(F.col(item), chunk_size)))).alias(name))
     )

@@ -7,27 +7,22 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.functions.terms import normalise_term, query_terms
+from rankweave.functions.terms import query_terms
 from rankweave.sources.index_table import BUCKET, term_bucket
 
-Terms = str | Iterable[str] | DataFrame
+Terms = str | Iterable[str]
 
 
 def lookup_terms(postings: DataFrame, terms: Terms) -> DataFrame:
-    """Postings of any of the terms; a repeated keyword counts once.
+    """Postings of any of the terms, given as a keyword string or a list; a repeated one counts once.
 
-    ``terms`` is a keyword string, a list, or ``DataFrame(term)`` for a set that
-    is itself data. A string or list becomes a filter on the scan, and on a
-    stored index it also picks the directories to read.
+    The terms become a filter on the scan, and on a stored index they also pick
+    the directories to read.
     """
-    if isinstance(terms, DataFrame):
-        wanted = terms.select(normalise_term(F.col("term")).alias("term")).where(F.col("term") != "")
-        found = postings.join(wanted, "term", "left_semi")
-    else:
-        words = query_terms(terms)
-        found = postings.where(F.col("term").isin(words))
-        if BUCKET in postings.columns:
-            found = found.where(F.col(BUCKET).isin([term_bucket(F.lit(word)) for word in words]))
+    words = query_terms(terms)
+    found = postings.where(F.col("term").isin(words))
+    if BUCKET in postings.columns:
+        found = found.where(F.col(BUCKET).isin([term_bucket(F.lit(word)) for word in words]))
     return found.select("term", "doc", "tf")
 
 

@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.operators.lists import collect_lists
+from rankweave.operators.lists import collect_copies, long_lists
+from rankweave.operators.skew import heavy_keys, per_part, with_parts
 from rankweave.runtime import checkpoint, checkpoint_with_layout, shuffle_partitions
 
 # The rank every source starts with, whatever the damping, and the defaults.
@@ -50,11 +51,28 @@ def node_set(edges: DataFrame) -> DataFrame:
 def init_ranks(edges: DataFrame, initial_rank: float = INITIAL_RANK, max_list: int | None = None) -> DataFrame:
     """``edges`` to ``adjacency(page, rank, links)``: every source with its links, duplicates included.
 
-    An export form. A source above the list bound of ``collect_lists`` has
-    several rows, which together hold its links.
+    An export form. A source has one row unless its list is too long for one,
+    see ``long_lists``; its rows together hold its links.
     """
-    lists = collect_lists(count_links(edges), "src", ["dst"], "links", max_list, copies="copies")
-    return lists.select(F.col("src").alias("page"), F.lit(float(initial_rank)).alias("rank"), "links")
+    lists, _ = _link_lists(edges, max_list)
+    return lists.select("page", F.lit(float(initial_rank)).alias("rank"), "links")
+
+
+def rank_state(edges: DataFrame, ranks: DataFrame, max_list: int | None = None) -> DataFrame:
+    """``ranks(page, rank)`` with the links of each page: ``adjacency``, as it stands between rounds."""
+    lists, heavy = _link_lists(edges, max_list)
+    return (
+        per_part(ranks, "page", heavy)
+        .join(lists, ["page", "part"], "left")
+        .select("page", "rank", F.coalesce("links", F.array().cast("array<string>")).alias("links"))
+    )
+
+
+def _link_lists(edges: DataFrame, max_list: int | None) -> tuple[DataFrame, DataFrame]:
+    links = count_links(edges)
+    heavy, bound = long_lists(links, "src", F.col("copies"), max_list)
+    lists = collect_copies(links, "src", "dst", "copies", "links", heavy, bound)
+    return lists.withColumnRenamed("src", "page"), heavy
 
 
 def adjacency_edges(adjacency: DataFrame) -> DataFrame:
@@ -106,7 +124,7 @@ def _damped(total: Column, damping: float) -> Column:
 
 @dataclass(frozen=True)
 class Graph:
-    """Weighted links laid out for the rounds; ``heavy(page, parts)`` is set when sources were split."""
+    """Weighted links laid out for the rounds; ``heavy`` is set when sources were split."""
 
     weights: DataFrame
     heavy: DataFrame | None
@@ -118,19 +136,7 @@ class Graph:
     def spread(self, ranks: DataFrame) -> DataFrame:
         """Ranks keyed like the links, a heavy source once per part."""
         ranks = ranks.withColumnRenamed("page", "src")
-        return ranks if self.heavy is None else _per_part(ranks, self.heavy)
-
-
-def _part_counts(rows: DataFrame, heavy: DataFrame) -> DataFrame:
-    # Fewer sources than partitions can be heavy (see lay_out), so this never grows with the data.
-    return rows.join(F.broadcast(heavy), F.col("src") == F.col("page"), "left").drop("page").withColumn(
-        "parts", F.coalesce("parts", F.lit(1))
-    )
-
-
-def _per_part(rows: DataFrame, heavy: DataFrame) -> DataFrame:
-    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    return _part_counts(rows, heavy).withColumn("part", parts).drop("parts")
+        return ranks if self.heavy is None else per_part(ranks, "src", self.heavy)
 
 
 def lay_out(edges: DataFrame, min_heavy_links: int = MIN_HEAVY_LINKS) -> Graph:
@@ -147,18 +153,14 @@ def lay_out(edges: DataFrame, min_heavy_links: int = MIN_HEAVY_LINKS) -> Graph:
         bound = max((sizes["total"] or 0) / partitions, min_heavy_links)
         heavy, key = None, ["src"]
         if (sizes["largest"] or 0) > bound:
-            parts = F.ceil(F.col("targets") / bound)
-            heavy = checkpoint(
-                outgoing.where(F.col("targets") > bound).select(F.col("src").alias("page"), parts.alias("parts"))
-            )
-            key = ["src", "part"]
+            heavy, key = checkpoint(heavy_keys(outgoing, "src", "targets", F.lit(bound))), ["src", "part"]
             part = F.pmod(F.xxhash64("dst"), F.col("parts"))
-            links_by_key = _part_counts(links, heavy).withColumn("part", part).drop("parts")
-            outgoing = _per_part(outgoing, heavy)
+            spread = with_parts(links, "src", heavy).withColumn("part", part)
+            outgoing = per_part(outgoing, "src", heavy)
         else:
-            links_by_key = links
+            spread = links
         weights = (
-            links_by_key.repartition(partitions, *key)
+            spread.repartition(partitions, *key)
             .join(outgoing, key)
             .select(*key, "dst", _weight().alias("weight"))
             .sortWithinPartitions(*key)

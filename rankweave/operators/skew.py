@@ -1,0 +1,29 @@
+"""Keys that hold more rows than a partition should, and how to spread them."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def heavy_keys(sizes: DataFrame, key: str, size: str, bound: Column) -> DataFrame:
+    """Keys above the bound with the number of parts they need: ``heavy(heavy_key, parts)``.
+
+    The bound must be at least the total over the number of shuffle partitions.
+    Then fewer keys than partitions can exceed it, so the table is small enough
+    to broadcast whatever the size of the data.
+    """
+    parts = F.ceil(F.col(size) / bound).cast("long")
+    return sizes.where(F.col(size) > bound).select(F.col(key).alias("heavy_key"), parts.alias("parts"))
+
+
+def with_parts(rows: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
+    """Rows with the number of ``parts`` of their key, one for most."""
+    joined = rows.join(F.broadcast(heavy), F.col(key) == F.col("heavy_key"), "left").drop("heavy_key")
+    return joined.withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+
+
+def per_part(rows: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
+    """Each row once for every ``part`` of its key."""
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    return with_parts(rows, key, heavy).withColumn("part", parts).drop("parts")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.functions.terms import DELIMITERS, split_terms
-from rankweave.operators.lists import collect_lists
+from rankweave.operators.lists import collect_items, long_lists
 
 
 def tokenize(pages: DataFrame, delimiters: str = DELIMITERS) -> DataFrame:
@@ -31,7 +31,8 @@ def count_terms(tokens: DataFrame) -> DataFrame:
 def posting_lists(postings: DataFrame, max_list: int | None = None) -> DataFrame:
     """``postings`` to ``posting_lists(term, postings)`` for export, each list sorted by document.
 
-    A term has one row unless it exceeds the list bound of ``collect_lists``,
-    which then gives it several. The input is read twice, so pass a stored index.
+    A term has one row unless its list is too long for one, see ``long_lists``.
+    The input is read twice, so pass a stored index.
     """
-    return collect_lists(postings, "term", ["doc", "tf"], "postings", max_list)
+    heavy, _ = long_lists(postings, "term", F.lit(1), max_list)
+    return collect_items(postings, "term", ["doc", "tf"], "postings", heavy).select("term", "postings")

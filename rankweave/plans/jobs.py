@@ -34,20 +34,23 @@ def search(terms: Terms, postings: DataFrame, ranks: DataFrame) -> DataFrame:
 
 
 def rank_dump(
-    spark: SparkSession,
-    input: str,
-    output: str,
-    damping: float = DAMPING,
-    iterations: int = ITERATIONS,
+    spark: SparkSession, dump: str, output: str, damping: float = DAMPING, iterations: int = ITERATIONS
 ) -> None:
     """Rank the pages of a dump into ``rank<tab>page`` text files; an earlier output is replaced."""
-    pages = extract_pages(readers.read_pages(spark, input))
-    writers.write_ranks(rank_pages(extract_links(pages), damping, iterations), output)
+    edges = extract_links(extract_pages(readers.read_pages(spark, dump)))
+    writers.write_ranks(rank_pages(edges, damping, iterations), output)
+
+
+def rank_edge_list(
+    spark: SparkSession, edge_list: str, output: str, damping: float = DAMPING, iterations: int = ITERATIONS
+) -> None:
+    """Like ``rank_dump`` for ``src<tab>dst`` text files."""
+    writers.write_ranks(rank_pages(readers.read_edge_list(spark, edge_list), damping, iterations), output)
 
 
-def index_dump(spark: SparkSession, input: str, output: str) -> None:
+def index_dump(spark: SparkSession, dump: str, output: str) -> None:
     """Index a dump into the stored form that ``read_index`` opens."""
-    write_index(build_index(extract_pages(readers.read_pages(spark, input))), output)
+    write_index(build_index(extract_pages(readers.read_pages(spark, dump))), output)
 
 
 def export_index(postings: DataFrame, output: str) -> None:

@@ -166,6 +166,9 @@ ORACLES = {
     "node_set": f"WITH {ACCOUNT_EDGES} SELECT src AS page FROM edges UNION SELECT dst FROM edges",
     "adjacency_init": f"WITH {DOCUMENT_EDGES} {ADJACENCY}",
     "rank_state_file": f"WITH {ACCOUNT_EDGES} {ADJACENCY}",
+    "rank_state_rounds": f"""WITH {ACCOUNT_EDGES},{_ranks(2)}
+SELECT page, round(rank, 9) AS rank, coalesce(string_agg(dst, ',' ORDER BY dst), '') AS links
+FROM ranks2 LEFT JOIN edges ON src = page GROUP BY page, rank""",
     "link_contributions": f"""WITH {ACCOUNT_EDGES},{WEIGHTS}
 SELECT dst AS page, round(rank * weight, 9) AS contribution FROM weights JOIN ranks0 ON src = page""",
     "rank_step": _rank_query(TRADE_EDGES, 1),
@@ -187,9 +190,6 @@ SELECT term, string_agg(doc || ':' || tf, ' ' ORDER BY doc) AS postings FROM pos
     "index_dump_stored": f"WITH {DUMP},{POSTINGS} SELECT term, doc, tf FROM postings",
     "term_lookup": f"WITH {DOCUMENTS},{POSTINGS},{_found(FEW_TERMS)} SELECT term, doc, tf FROM found",
     "term_lookup_stored": f"WITH {DOCUMENTS},{POSTINGS},{_found(MANY_TERMS)} SELECT term, doc, tf FROM found",
-    "term_lookup_table": f"""WITH {DOCUMENTS},{POSTINGS}
-SELECT term, doc, tf FROM postings
-WHERE term IN (SELECT lower(regexp_replace(lang, '[^a-zA-Z]', '', 'g')) FROM documents)""",
     "doc_tf": DOC_HITS,
     "hits_file": DOC_HITS,
     "search_few": f"WITH {DOCUMENTS},{POSTINGS},{_found(FEW_TERMS)},{HITS},{DOCUMENT_EDGES},{_ranks(2)} {_scores(2)}",

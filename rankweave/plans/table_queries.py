@@ -81,6 +81,12 @@ def rank_state_file(spark: SparkSession, folder: str) -> DataFrame:
     return state.select("page", "rank", F.array_join("links", ",").alias("links"))
 
 
+def rank_state_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    edges = inputs.account_edges(spark, folder)
+    state = rank.rank_state(edges, rank.rank_pages(edges))
+    return _rounded(state.withColumn("links", F.array_join("links", ",")), "rank")
+
+
 def rank_resume(spark: SparkSession, folder: str) -> DataFrame:
     """Three rounds in two runs, the second from the rank state of the first."""
     edges = inputs.account_edges(spark, folder)
@@ -179,12 +185,6 @@ def term_lookup_stored(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.lookup_terms(read_index(spark, path), MANY_TERMS)
 
 
-def term_lookup_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Terms that are data themselves: the languages of the documents."""
-    wanted = inputs.table(spark, folder, "documents").select(F.col("lang").alias("term"))
-    return lookup.lookup_terms(postings(spark, folder), wanted)
-
-
 def doc_tf(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.sum_hits(term_lookup(spark, folder))
 
@@ -241,6 +241,7 @@ QUERIES = {
         rank_trade_5,
         rank_accounts,
         rank_damping,
+        rank_state_rounds,
         rank_resume,
         rank_links,
         rank_order,
@@ -254,7 +255,6 @@ QUERIES = {
         index_dump_stored,
         term_lookup,
         term_lookup_stored,
-        term_lookup_table,
         doc_tf,
         hits_file,
         search_few,

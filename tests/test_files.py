@@ -25,6 +25,14 @@ def test_edge_list(spark, tmp_path):
     assert rows(edges) == [(" c ", ""), ("a", "b"), ("b", "c\td")]
 
 
+def test_ranks_of_an_edge_list(spark, tmp_path):
+    text = "# comment\n" + "".join(f"{src}\t{dst}\n" for src, dst in EDGES)
+    (tmp_path / "edges.txt").write_text(text, encoding="utf-8")
+    jobs.rank_edge_list(spark, str(tmp_path / "edges.txt"), str(tmp_path / "ranks"), iterations=3)
+    ranks = dict(rows(readers.read_ranks(spark, str(tmp_path / "ranks"))))
+    assert ranks == pytest.approx({page: r[2] for page, r in RANKS.items()}, abs=1e-9)
+
+
 def test_rank_state(spark, edges, tmp_path):
     path = str(tmp_path / "state")
     writers.write_rank_state(init_ranks(edges), path)

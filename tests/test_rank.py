@@ -60,7 +60,7 @@ def test_hub_is_split_and_ranks_stay(spark, iterations):
     edges = hub_edges()
     df = spark.createDataFrame(edges, "src string, dst string")
     graph = rank.lay_out(df, min_heavy_links=100)
-    assert [row["page"] for row in graph.heavy.collect()] == ["hub"]
+    assert [row["heavy_key"] for row in graph.heavy.collect()] == ["hub"]
     sizes = [row["count"] for row in graph.weights.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 4000
     ranks = rank.rank_pages(df, iterations=iterations, min_heavy_links=100)
@@ -135,6 +135,19 @@ def test_adjacency_of_a_hub_is_split(spark, conf):
     assert rows(rank.adjacency_edges(adjacency)) == sorted(edges)
 
 
+@pytest.mark.parametrize("max_list", [None, 50])
+def test_rank_state_between_rounds(spark, max_list):
+    edges = hub_edges()
+    df = spark.createDataFrame(edges, "src string, dst string")
+    state = rank.rank_state(df, rank.rank_pages(df), max_list)
+    assert rows(rank.adjacency_edges(state)) == sorted(edges)
+    assert found(state) == pytest.approx(ranks_of(edges, 2), abs=1e-9)
+    counts = Counter(row["page"] for row in state.select("page").collect())
+    assert set(counts) == {page for edge in edges for page in edge}
+    assert (counts["hub"] > 1) == (max_list is not None) and counts["t1"] == 1
+    assert state.where("page = 't2'").first()["links"] == []
+
+
 def test_order(edges):
     ordered = [(row["rank"], row["page"]) for row in link_rank(edges).collect()]
     assert ordered == sorted(ordered)

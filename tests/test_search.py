@@ -39,11 +39,6 @@ def test_fixture_scores(postings, ranks, terms, expected):
     assert scores(search(terms, postings, ranks)) == pytest.approx(expected, abs=1e-9)
 
 
-def test_terms_as_data(spark, postings, ranks):
-    terms = spark.createDataFrame([("Beta",), ("alpha",), ("beta",), (None,)], "term string")
-    assert scores(search(terms, postings, ranks)) == pytest.approx(BETA_ALPHA, abs=1e-9)
-
-
 def test_documents_without_rank_drop_out(postings, ranks):
     assert set(scores(search("beta", postings, ranks.where("page <> 'Beta'")))) == set(BETA) - {"Beta"}
 
@@ -62,5 +57,3 @@ def test_stored_index_is_pruned(spark, postings, ranks, tmp_path):
     plan = lookup_terms(index, "beta alpha")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [bucket" in plan
     assert "PushedFilters: [In(term, [alpha,beta])]" in plan
-    terms = spark.createDataFrame([("beta",), ("alpha",)], "term string")
-    assert scores(search(terms, index, ranks)) == pytest.approx(BETA_ALPHA, abs=1e-9)
