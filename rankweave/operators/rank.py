@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.operators.lists import collect_copies, long_lists
@@ -80,46 +80,13 @@ def adjacency_edges(adjacency: DataFrame) -> DataFrame:
     return adjacency.select(F.col("page").alias("src"), F.explode("links").alias("dst"))
 
 
-def _outgoing(links: DataFrame) -> DataFrame:
-    return links.groupBy("src").agg(F.sum("copies").alias("out"), F.count("*").alias("targets"))
-
-
-def _weight() -> Column:
-    return F.col("copies") / F.col("out")
-
-
-def link_weights(edges: DataFrame) -> DataFrame:
-    """``edges`` to ``weights(src, dst, weight)``, weight being copies over out-degree."""
-    links = count_links(edges)
-    return links.join(_outgoing(links), "src").select("src", "dst", _weight().alias("weight"))
-
-
-def contributions(weights: DataFrame, ranks: DataFrame) -> DataFrame:
-    """What each link carries to its target: ``contributions(page, contribution)``."""
-    return weights.join(ranks, F.col("src") == F.col("page")).select(
-        F.col("dst").alias("page"), (F.col("rank") * F.col("weight")).alias("contribution")
-    )
-
-
-def update_ranks(contributed: DataFrame, nodes: DataFrame | None = None, damping: float = DAMPING) -> DataFrame:
-    """Ranks from the contributions; those of ``nodes(page)`` without any are one minus damping."""
-    if nodes is not None:
-        contributed = contributed.unionByName(nodes.select("page", F.lit(0.0).alias("contribution")))
-    return (
-        contributed.groupBy("page")
-        .agg(F.sum("contribution").alias("total"))
-        .select("page", _damped(F.col("total"), clamp_damping(damping)).alias("rank"))
-    )
-
+def adjacency_ranks(adjacency: DataFrame) -> DataFrame:
+    """``adjacency`` to ``ranks(page, rank)``, one row per page however many hold its links."""
+    return adjacency.select("page", "rank").distinct()
 
-def rank_step(edges: DataFrame, ranks: DataFrame, damping: float = DAMPING) -> DataFrame:
-    """One round from given ranks of all sources to the ranks of all pages."""
-    contributed = contributions(link_weights(edges), ranks)
-    return update_ranks(contributed, edges.select(F.col("src").alias("page")), damping)
 
-
-def _damped(total: Column, damping: float) -> Column:
-    return F.lit(damping) * total + F.lit(1.0 - damping)
+def _outgoing(links: DataFrame) -> DataFrame:
+    return links.groupBy("src").agg(F.sum("copies").alias("out"), F.count("*").alias("targets"))
 
 
 @dataclass(frozen=True)
@@ -162,7 +129,7 @@ def lay_out(edges: DataFrame, min_heavy_links: int = MIN_HEAVY_LINKS) -> Graph:
         weights = (
             spread.repartition(partitions, *key)
             .join(outgoing, key)
-            .select(*key, "dst", _weight().alias("weight"))
+            .select(*key, "dst", (F.col("copies") / F.col("out")).alias("weight"))
             .sortWithinPartitions(*key)
         )
         return Graph(checkpoint_with_layout(weights), heavy)
@@ -170,8 +137,11 @@ def lay_out(edges: DataFrame, min_heavy_links: int = MIN_HEAVY_LINKS) -> Graph:
         links.unpersist()
 
 
-def _round(graph: Graph, ranks: DataFrame | None, missing: float) -> DataFrame:
-    """Contributions of one round; sources without a row in ``ranks`` have the rank ``missing``."""
+def contributions(graph: Graph, ranks: DataFrame | None, missing: float = INITIAL_RANK) -> DataFrame:
+    """What each source hands to each of its targets: ``contributions(page, contribution)``.
+
+    Sources without a row in ``ranks`` have the rank ``missing``.
+    """
     rank = F.lit(missing)
     linked = graph.weights
     if ranks is not None:
@@ -180,6 +150,20 @@ def _round(graph: Graph, ranks: DataFrame | None, missing: float) -> DataFrame:
     return linked.select(F.col("dst").alias("page"), (rank * F.col("weight")).alias("contribution"))
 
 
+def update_ranks(contributed: DataFrame, nodes: DataFrame | None = None, damping: float = DAMPING) -> DataFrame:
+    """Ranks from the contributions; those of ``nodes(page)`` without any are one minus damping."""
+    if nodes is not None:
+        contributed = contributed.unionByName(nodes.select("page", F.lit(0.0).alias("contribution")))
+    damping = clamp_damping(damping)
+    damped = F.lit(damping) * F.sum("contribution") + F.lit(1.0 - damping)
+    return contributed.groupBy("page").agg(damped.alias("rank"))
+
+
+def rank_step(edges: DataFrame, ranks: DataFrame, damping: float = DAMPING) -> DataFrame:
+    """One round from the given ranks: ``ranks(page, rank)`` of all pages."""
+    return rank_pages(edges, damping, 1, ranks=ranks)
+
+
 def rank_pages(
     edges: DataFrame,
     damping: float = DAMPING,
@@ -190,20 +174,21 @@ def rank_pages(
 ) -> DataFrame:
     """Ranks of all pages after a fixed number of rounds: ``ranks(page, rank)``.
 
-    Rounds start from ``initial_rank``, or from ``ranks`` of an earlier run. The
+    Rounds start from ``initial_rank``, or from ``ranks`` of an earlier run, one row
+    per page; a source without one starts from ``initial_rank``. The
     rank of a page without links is not handed on. Only pages with in-links have
     a row between rounds: a source without any has one minus damping.
     """
-    damping, iterations = clamp_damping(damping), max(int(iterations), 1)
+    iterations = max(int(iterations), 1)
     graph = lay_out(edges, min_heavy_links)
     missing = float(initial_rank)
     for done in range(1, iterations):
-        ranks = update_ranks(_round(graph, ranks, missing), damping=damping)
-        missing = 1.0 - damping
+        ranks = update_ranks(contributions(graph, ranks, missing), damping=damping)
+        missing = 1.0 - clamp_damping(damping)
         if done % ROUNDS_PER_CHECKPOINT == 0:
             ranks = checkpoint(ranks)
     sources = graph.weights.select(F.col("src").alias("page"))
-    return update_ranks(_round(graph, ranks, missing), sources, damping)
+    return update_ranks(contributions(graph, ranks, missing), sources, damping)
 
 
 def order_ranks(ranks: DataFrame) -> DataFrame:

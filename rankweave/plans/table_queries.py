@@ -97,7 +97,7 @@ def rank_resume(spark: SparkSession, folder: str) -> DataFrame:
 def link_contributions(spark: SparkSession, folder: str) -> DataFrame:
     edges = inputs.account_edges(spark, folder)
     start = rank.node_set(edges).withColumn("rank", F.lit(rank.INITIAL_RANK))
-    return _rounded(rank.contributions(rank.link_weights(edges), start), "contribution")
+    return _rounded(rank.contributions(rank.lay_out(edges), start), "contribution")
 
 
 def rank_step(spark: SparkSession, folder: str) -> DataFrame:

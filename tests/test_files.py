@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from conftest import EDGES, POSTINGS, RANKS, dump_text, rows
-from rankweave.operators.rank import adjacency_edges, init_ranks, rank_pages
+from rankweave.operators.rank import adjacency_edges, adjacency_ranks, init_ranks, rank_pages
 from rankweave.operators.terms import posting_lists
 from rankweave.plans import jobs
 from rankweave.sources import readers, writers
@@ -39,7 +39,7 @@ def test_rank_state(spark, edges, tmp_path):
     assert sorted(lines_of(path))[0] == "Alpha\t0.85\tBeta,Beta,Gamma_Ray"
     state = readers.read_rank_state(spark, path)
     assert rows(adjacency_edges(state)) == sorted(EDGES)
-    resumed = rank_pages(adjacency_edges(state), iterations=2, ranks=state.select("page", "rank"))
+    resumed = rank_pages(adjacency_edges(state), iterations=2, ranks=adjacency_ranks(state))
     assert {r["page"]: r["rank"] for r in resumed.collect()} == pytest.approx(
         {page: r[1] for page, r in RANKS.items()}, abs=1e-9
     )

@@ -106,6 +106,15 @@ def test_step_equals_one_round(edges):
     assert found(rank.rank_step(edges, start)) == pytest.approx({p: r[0] for p, r in RANKS.items()}, abs=1e-9)
 
 
+def test_contributions_of_one_round(spark, edges):
+    ranks = spark.createDataFrame([("Alpha", 3.0), ("Beta", 1.0)], "page string, rank double")
+    handed = rows(rank.contributions(rank.lay_out(edges), ranks, missing=4.0))
+    assert handed == sorted(
+        [("Beta", 2.0), ("Gamma_Ray", 1.0), ("Alpha", 0.5), ("Café", 0.5)]
+        + [(page, 1.0) for page in ("Alpha", "A|b", "1", "_Delta_")]
+    )
+
+
 def test_parameters_are_clamped(spark):
     edges = random_edges(5)
     df = spark.createDataFrame(edges, "src string, dst string")
@@ -146,6 +155,8 @@ def test_rank_state_between_rounds(spark, max_list):
     assert set(counts) == {page for edge in edges for page in edge}
     assert (counts["hub"] > 1) == (max_list is not None) and counts["t1"] == 1
     assert state.where("page = 't2'").first()["links"] == []
+    resumed = rank.rank_pages(rank.adjacency_edges(state), iterations=1, ranks=rank.adjacency_ranks(state))
+    assert found(resumed) == pytest.approx(ranks_of(edges, 3), abs=1e-9)
 
 
 def test_order(edges):
