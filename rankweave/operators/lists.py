@@ -31,7 +31,7 @@ def collect_items(rows: DataFrame, key: str, items: list[str], name: str, heavy:
     return (
         with_parts(rows, key, heavy)
         .groupBy(key, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(item)).alias(name))
+        .agg(F.sort_array(F.collect_list(item)).alias(name))
     )
 
 
@@ -51,5 +51,5 @@ def collect_copies(
         .withColumn("limit", bound.cast("long"))
         .withColumn("chunk", F.explode(chunks))
         .groupBy(key, part.alias("part"))
-        .agg(F.array_sort(F.flatten(F.collect_list(F.array_repeat(F.col(item), chunk_size)))).alias(name))
+        .agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col(item), chunk_size)))).alias(name))
     )

@@ -140,11 +140,11 @@ ranks{n} AS (
 
 
 def _scores(rounds: int) -> str:
-    return f"SELECT doc, round(tf * rank, 9) AS score FROM hits JOIN ranks{rounds} ON doc = page"
+    return f"SELECT doc, round(tf * rank, 8) AS score FROM hits JOIN ranks{rounds} ON doc = page"
 
 
 def _rank_query(edges: str, rounds: int, damping: float = 0.85) -> str:
-    return f"WITH {edges},{_ranks(rounds, damping)} SELECT page, round(rank, 9) AS rank FROM ranks{rounds}"
+    return f"WITH {edges},{_ranks(rounds, damping)} SELECT page, round(rank, 8) AS rank FROM ranks{rounds}"
 
 
 ADJACENCY = """SELECT src AS page, CAST(0.85 AS DOUBLE) AS rank, string_agg(dst, ',' ORDER BY dst) AS links
@@ -167,10 +167,10 @@ ORACLES = {
     "adjacency_init": f"WITH {DOCUMENT_EDGES} {ADJACENCY}",
     "rank_state_file": f"WITH {ACCOUNT_EDGES} {ADJACENCY}",
     "rank_state_rounds": f"""WITH {ACCOUNT_EDGES},{_ranks(2)}
-SELECT page, round(rank, 9) AS rank, coalesce(string_agg(dst, ',' ORDER BY dst), '') AS links
+SELECT page, round(rank, 8) AS rank, coalesce(string_agg(dst, ',' ORDER BY dst), '') AS links
 FROM ranks2 LEFT JOIN edges ON src = page GROUP BY page, rank""",
     "link_contributions": f"""WITH {ACCOUNT_EDGES},{WEIGHTS}
-SELECT dst AS page, round(rank * weight, 9) AS contribution FROM weights JOIN ranks0 ON src = page""",
+SELECT dst AS page, rank * weight AS contribution FROM weights JOIN ranks0 ON src = page""",
     "rank_step": _rank_query(TRADE_EDGES, 1),
     "rank_trade_2": _rank_query(TRADE_EDGES, 2),
     "rank_trade_5": _rank_query(TRADE_EDGES, 5),

@@ -18,9 +18,9 @@ MANY_TERMS = "The that's with de la und"
 
 
 def _rounded(df: DataFrame, column: str) -> DataFrame:
-    # Sums differ in the last digits with their order, so comparisons round. Exact
-    # scores of the document graph end at the eighth digit and cannot tie here.
-    return df.withColumn(column, F.round(column, 9))
+    # Sums differ in the last digits with their order, so comparisons round. The exact
+    # ranks of the document graph end at the eighth digit, where no tie can arise.
+    return df.withColumn(column, F.round(column, 8))
 
 
 def page_titles(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,7 +97,7 @@ def rank_resume(spark: SparkSession, folder: str) -> DataFrame:
 def link_contributions(spark: SparkSession, folder: str) -> DataFrame:
     edges = inputs.account_edges(spark, folder)
     start = rank.node_set(edges).withColumn("rank", F.lit(rank.INITIAL_RANK))
-    return _rounded(rank.contributions(rank.lay_out(edges), start), "contribution")
+    return rank.contributions(rank.lay_out(edges), start)
 
 
 def rank_step(spark: SparkSession, folder: str) -> DataFrame:
