@@ -159,30 +159,29 @@ def update_ranks(contributed: DataFrame, nodes: DataFrame | None = None, damping
     return contributed.groupBy("page").agg(damped.alias("rank"))
 
 
-def rank_step(edges: DataFrame, ranks: DataFrame, damping: float = DAMPING) -> DataFrame:
+def rank_step(edges: DataFrame | Graph, ranks: DataFrame, damping: float = DAMPING) -> DataFrame:
     """One round from the given ranks: ``ranks(page, rank)`` of all pages."""
     return rank_pages(edges, damping, 1, ranks=ranks)
 
 
 def rank_pages(
-    edges: DataFrame,
+    edges: DataFrame | Graph,
     damping: float = DAMPING,
     iterations: int = ITERATIONS,
     initial_rank: float = INITIAL_RANK,
     ranks: DataFrame | None = None,
-    min_heavy_links: int = MIN_HEAVY_LINKS,
 ) -> DataFrame:
     """Ranks of all pages after a fixed number of rounds: ``ranks(page, rank)``.
 
-    Rounds start from ``initial_rank``, or from ``ranks`` of an earlier run, one row
-    per page; a source without one starts from ``initial_rank``. The
-    rank of a page without links is not handed on. Only pages with in-links have
-    a row between rounds: a source without any has one minus damping.
+    Rounds start from ``initial_rank``, or from ``ranks`` of an earlier run with one
+    row per page, where sources without a row start from ``initial_rank``. Several
+    runs over one graph can share what ``lay_out`` gives. The rank of a page without
+    links is not handed on.
     """
-    iterations = max(int(iterations), 1)
-    graph = lay_out(edges, min_heavy_links)
+    graph = edges if isinstance(edges, Graph) else lay_out(edges)
     missing = float(initial_rank)
-    for done in range(1, iterations):
+    # Between rounds only pages with in-links have a row: any other source has one minus damping.
+    for done in range(1, int(iterations)):
         ranks = update_ranks(contributions(graph, ranks, missing), damping=damping)
         missing = 1.0 - clamp_damping(damping)
         if done % ROUNDS_PER_CHECKPOINT == 0:

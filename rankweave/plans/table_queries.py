@@ -88,10 +88,10 @@ def rank_state_rounds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rank_resume(spark: SparkSession, folder: str) -> DataFrame:
-    """Three rounds in two runs, the second from the rank state of the first."""
-    edges = inputs.account_edges(spark, folder)
-    first = rank.rank_pages(edges, iterations=2)
-    return _rounded(rank.rank_pages(edges, iterations=1, ranks=first), "rank")
+    """Three rounds in two runs over one graph, the second from the ranks of the first."""
+    graph = rank.lay_out(inputs.account_edges(spark, folder))
+    first = rank.rank_pages(graph, iterations=2)
+    return _rounded(rank.rank_step(graph, first), "rank")
 
 
 def link_contributions(spark: SparkSession, folder: str) -> DataFrame:

@@ -63,7 +63,7 @@ def test_hub_is_split_and_ranks_stay(spark, iterations):
     assert [row["heavy_key"] for row in graph.heavy.collect()] == ["hub"]
     sizes = [row["count"] for row in graph.weights.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 4000
-    ranks = rank.rank_pages(df, iterations=iterations, min_heavy_links=100)
+    ranks = rank.rank_pages(graph, iterations=iterations)
     assert found(ranks) == pytest.approx(ranks_of(edges, iterations), abs=1e-9)
 
 

@@ -1,0 +1,36 @@
+"""Spreading of heavy keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from rankweave.operators.skew import heavy_keys, per_part, with_parts
+
+
+def sizes(spark):
+    return spark.createDataFrame([("a", 100), ("b", 31), ("c", 30), (None, 1)], "key string, size bigint")
+
+
+def test_heavy_keys(spark):
+    assert rows(heavy_keys(sizes(spark), "key", "size", F.lit(30.0))) == [("a", 4), ("b", 2)]
+
+
+def test_every_row_has_parts(spark):
+    heavy = heavy_keys(sizes(spark), "key", "size", F.lit(30.0))
+    found = {row["key"]: row["parts"] for row in with_parts(sizes(spark), "key", heavy).collect()}
+    assert found == {"a": 4, "b": 2, "c": 1, None: 1}
+
+
+def test_one_row_per_part(spark):
+    heavy = heavy_keys(sizes(spark), "key", "size", F.lit(30.0))
+    found = per_part(sizes(spark).where("key is not null").select("key"), "key", heavy)
+    assert rows(found) == [("a", 0), ("a", 1), ("a", 2), ("a", 3), ("b", 0), ("b", 1), ("c", 0)]
+
+
+def test_only_the_table_of_heavy_keys_is_broadcast(spark, conf):
+    conf(autoBroadcastJoinThreshold=-1)
+    heavy = heavy_keys(sizes(spark), "key", "size", F.lit(30.0))
+    plan = with_parts(sizes(spark), "key", heavy)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1
+    assert "> 30.0" in plan.split("BroadcastExchange")[1]
