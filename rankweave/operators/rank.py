@@ -91,9 +91,10 @@ def _outgoing(links: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Graph:
-    """Weighted links laid out for the rounds; ``heavy`` is set when sources were split."""
+    """Weighted links laid out for the rounds, and their sources; ``heavy`` is set when some were split."""
 
     weights: DataFrame
+    sources: DataFrame
     heavy: DataFrame | None
 
     @property
@@ -115,24 +116,22 @@ def lay_out(edges: DataFrame, min_heavy_links: int = MIN_HEAVY_LINKS) -> Graph:
     partitions = shuffle_partitions(edges.sparkSession)
     links = count_links(edges).persist()
     try:
-        outgoing = _outgoing(links)
-        sizes = outgoing.agg(F.max("targets").alias("largest"), F.sum("targets").alias("total")).first()
+        sources = checkpoint(_outgoing(links))
+        sizes = sources.agg(F.max("targets").alias("largest"), F.sum("targets").alias("total")).first()
         bound = max((sizes["total"] or 0) / partitions, min_heavy_links)
-        heavy, key = None, ["src"]
+        heavy, key, spread, outgoing = None, ["src"], links, sources
         if (sizes["largest"] or 0) > bound:
-            heavy, key = checkpoint(heavy_keys(outgoing, "src", "targets", F.lit(bound))), ["src", "part"]
+            heavy, key = checkpoint(heavy_keys(sources, "src", "targets", F.lit(bound))), ["src", "part"]
             part = F.pmod(F.xxhash64("dst"), F.col("parts"))
             spread = with_parts(links, "src", heavy).withColumn("part", part)
-            outgoing = per_part(outgoing, "src", heavy)
-        else:
-            spread = links
+            outgoing = per_part(sources, "src", heavy)
         weights = (
             spread.repartition(partitions, *key)
             .join(outgoing, key)
             .select(*key, "dst", (F.col("copies") / F.col("out")).alias("weight"))
             .sortWithinPartitions(*key)
         )
-        return Graph(checkpoint_with_layout(weights), heavy)
+        return Graph(checkpoint_with_layout(weights), sources.select(F.col("src").alias("page")), heavy)
     finally:
         links.unpersist()
 
@@ -186,8 +185,7 @@ def rank_pages(
         missing = 1.0 - clamp_damping(damping)
         if done % ROUNDS_PER_CHECKPOINT == 0:
             ranks = checkpoint(ranks)
-    sources = graph.weights.select(F.col("src").alias("page"))
-    return update_ranks(contributions(graph, ranks, missing), sources, damping)
+    return update_ranks(contributions(graph, ranks, missing), graph.sources, damping)
 
 
 def order_ranks(ranks: DataFrame) -> DataFrame:
