@@ -25,8 +25,9 @@ ITERATIONS = 2
 # Rounds whose plans may pile up before the ranks are written out.
 ROUNDS_PER_CHECKPOINT = 5
 
-# A source with fewer distinct targets than this is never split.
+# A source with fewer distinct targets than this is never split, and the parts of others are this much smaller.
 MIN_HEAVY_LINKS = 1_000_000
+PART_FINENESS = 4
 
 
 def clamp_damping(damping: float) -> float:
@@ -121,7 +122,8 @@ def lay_out(edges: DataFrame, min_heavy_links: int = MIN_HEAVY_LINKS) -> Graph:
         bound = max((sizes["total"] or 0) / partitions, min_heavy_links)
         heavy, key, spread, outgoing = None, ["src"], links, sources
         if (sizes["largest"] or 0) > bound:
-            heavy, key = checkpoint(heavy_keys(sources, "src", "targets", F.lit(bound))), ["src", "part"]
+            heavy = checkpoint(heavy_keys(sources, "src", "targets", F.lit(bound), PART_FINENESS))
+            key = ["src", "part"]
             part = F.pmod(F.xxhash64("dst"), F.col("parts"))
             spread = with_parts(links, "src", heavy).withColumn("part", part)
             outgoing = per_part(sources, "src", heavy)

@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def heavy_keys(sizes: DataFrame, key: str, size: str, bound: Column) -> DataFrame:
+def heavy_keys(sizes: DataFrame, key: str, size: str, bound: Column, fineness: int = 1) -> DataFrame:
     """Keys above the bound with the number of parts they need: ``heavy(heavy_key, parts)``.
 
     The bound must be at least the total over the number of shuffle partitions.
     Then fewer keys than partitions can exceed it, so the table is small enough
-    to broadcast whatever the size of the data.
+    to broadcast whatever the size of the data. Parts hold up to the bound over
+    ``fineness``: smaller ones fill hash partitions more evenly.
     """
-    parts = F.ceil(F.col(size) / bound).cast("long")
+    parts = F.ceil(F.col(size) * fineness / bound).cast("long")
     return sizes.where(F.col(size) > bound).select(F.col(key).alias("heavy_key"), parts.alias("parts"))
 
 

@@ -90,6 +90,17 @@ def account_edges(spark: SparkSession, folder: str) -> DataFrame:
     return _sales(spark, folder).select(F.inline(both))
 
 
+def status_edges(spark: SparkSession, folder: str) -> DataFrame:
+    """Order status to customer and back, once per order: every link leaves or enters one of a few hubs."""
+    status = F.concat(F.lit("status-"), "o_orderstatus")
+    customer = F.concat(F.lit("customer-"), "o_custkey")
+    both = F.array(
+        F.struct(status.alias("src"), customer.alias("dst")),
+        F.struct(customer.alias("src"), status.alias("dst")),
+    )
+    return table(spark, folder, "orders").select(F.inline(both))
+
+
 def _escaped(text: Column) -> Column:
     for char, entity in [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")]:
         text = F.replace(text, F.lit(char), F.lit(entity))

@@ -77,6 +77,13 @@ edges AS (
     SELECT 'supplier-' || l_suppkey, 'customer-' || o_custkey FROM sales
 )"""
 
+STATUS_EDGES = """
+edges AS (
+    SELECT 'status-' || o_orderstatus AS src, 'customer-' || o_custkey AS dst FROM orders
+    UNION ALL
+    SELECT 'customer-' || o_custkey, 'status-' || o_orderstatus FROM orders
+)"""
+
 DUMP = """
 docs AS (
     SELECT 'Doc_' || doc_id AS page,
@@ -177,6 +184,8 @@ SELECT dst AS page, rank * weight AS contribution FROM weights JOIN ranks0 ON sr
     "rank_accounts": _rank_query(ACCOUNT_EDGES, 10),
     "rank_damping": _rank_query(ACCOUNT_EDGES, 3, 0.5),
     "rank_resume": _rank_query(ACCOUNT_EDGES, 3),
+    "rank_hubs": _rank_query(STATUS_EDGES, 3),
+    "adjacency_hubs": f"WITH {STATUS_EDGES} SELECT src, dst FROM edges",
     "rank_links": _rank_query(WIKI_EDGES, 3),
     "rank_order": _rank_query(DOCUMENT_EDGES, 2),
     "rank_file": _rank_query(DUMP_EDGES, 2),
@@ -186,6 +195,7 @@ SELECT dst AS page, rank * weight AS contribution FROM weights JOIN ranks0 ON sr
     "posting_lists": f"""WITH {DOCUMENTS},{POSTINGS}
 SELECT term, string_agg(doc || ':' || tf, ' ' ORDER BY doc) AS postings FROM postings GROUP BY term""",
     "posting_parse": FOUND_POSTINGS,
+    "posting_split": FOUND_POSTINGS,
     "posting_file": FOUND_POSTINGS,
     "index_dump_stored": f"WITH {DUMP},{POSTINGS} SELECT term, doc, tf FROM postings",
     "term_lookup": f"WITH {DOCUMENTS},{POSTINGS},{_found(FEW_TERMS)} SELECT term, doc, tf FROM found",

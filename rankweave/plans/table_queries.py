@@ -123,6 +123,17 @@ def rank_damping(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(rank.rank_pages(edges, damping=0.5, iterations=3), "rank")
 
 
+def rank_hubs(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranks with the hubs of the graph split, however small they are."""
+    graph = rank.lay_out(inputs.status_edges(spark, folder), min_heavy_links=1)
+    return _rounded(rank.rank_pages(graph, iterations=3), "rank")
+
+
+def adjacency_hubs(spark: SparkSession, folder: str) -> DataFrame:
+    """Link lists split as far as they can be, and their links again."""
+    return rank.adjacency_edges(rank.init_ranks(inputs.status_edges(spark, folder), max_list=1))
+
+
 def rank_links(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(link_rank(inputs.wiki_pages(spark, folder), iterations=3), "rank")
 
@@ -168,6 +179,12 @@ def posting_file(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_posting_lists(spark, path)
 
 
+def posting_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Posting lists split as far as they can be, and their postings again."""
+    index = checkpoint(build_index(inputs.document_pages(spark, folder)))
+    return readers.parse_posting_lists(writers.posting_list_lines(terms.posting_lists(index, max_list=1)))
+
+
 def index_dump_stored(spark: SparkSession, folder: str) -> DataFrame:
     """Index a dump into the stored form and read it back."""
     path = inputs.fresh_path(spark, "index")
@@ -243,6 +260,8 @@ QUERIES = {
         rank_damping,
         rank_state_rounds,
         rank_resume,
+        rank_hubs,
+        adjacency_hubs,
         rank_links,
         rank_order,
         rank_file,
@@ -251,6 +270,7 @@ QUERIES = {
         postings,
         posting_lists,
         posting_parse,
+        posting_split,
         posting_file,
         index_dump_stored,
         term_lookup,

@@ -14,6 +14,7 @@ def sizes(spark):
 
 def test_heavy_keys(spark):
     assert rows(heavy_keys(sizes(spark), "key", "size", F.lit(30.0))) == [("a", 4), ("b", 2)]
+    assert rows(heavy_keys(sizes(spark), "key", "size", F.lit(30.0), fineness=4)) == [("a", 14), ("b", 5)]
 
 
 def test_every_row_has_parts(spark):
