@@ -70,8 +70,10 @@ def rank_state(edges: DataFrame, ranks: DataFrame, max_list: int | None = None)
 
 
 def _link_lists(edges: DataFrame, max_list: int | None) -> tuple[DataFrame, DataFrame]:
-    links = count_links(edges)
+    # Both are read several times below, and the edges may come straight from a dump.
+    links = checkpoint(count_links(edges))
     heavy, bound = long_lists(links, "src", F.col("copies"), max_list)
+    heavy = checkpoint(heavy)
     lists = collect_copies(links, "src", "dst", "copies", "links", heavy, bound)
     return lists.withColumnRenamed("src", "page"), heavy
 
