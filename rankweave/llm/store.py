@@ -1,0 +1,17 @@
+"""Tables between the steps of an operator, in the folder that all executors share."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+
+from rankweave.runtime import shared_folder
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: lineage ends there, columns still prune."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
