@@ -5,10 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rankweave.llm.jaccard import join_similar
 from rankweave.llm.mixing import mix_sources
 from rankweave.llm.packing import pack
 from rankweave.llm.quality import judge_quality
 from rankweave.llm.secrets import scan_secrets
+from rankweave.llm.substrings import dedup_substrings
 from rankweave.llm.url_filter import filter_urls
 from rankweave.plans.table_inputs import table
 
@@ -46,10 +48,19 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judge_quality(table(spark, folder, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_substrings(table(spark, folder, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    joined = join_similar(table(spark, folder, "documents"))
+    return joined.select("doc_id", "class_id", "n_links", "copy_id", "kept")
+
+
 QUERIES = {
     query.__name__: query
     for query in [
@@ -57,7 +68,9 @@ QUERIES = {
         op4_packing,
         op5_mixing,
         op6_quality,
+        op7_substring_dedup,
         op9_url_filter,
+        op10_jaccard_join,
     ]
 }
 

@@ -72,10 +72,10 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     if count <= 0:
         return np.zeros(0, dtype=np.uint64)
     total = np.zeros(count, dtype=np.uint64)
-    factor = np.uint64(1)
+    shift = 1
     for k in range(size):
-        factor = factor * _POWER + np.uint64(2 * k)
-        total += mix(hashes[k : k + count] + factor)
+        shift = (shift * int(_POWER) + 2 * k) % 2**64
+        total += mix(hashes[k : k + count] + np.uint64(shift))
     return mix(total)
 
 
