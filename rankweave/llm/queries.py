@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rankweave.llm.embeddings import link_embeddings
 from rankweave.llm.jaccard import join_similar
 from rankweave.llm.mixing import mix_sources
 from rankweave.llm.packing import pack
@@ -52,6 +53,10 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_substrings(table(spark, folder, "documents"))
 
 
+def op8_embedding_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return link_embeddings(table(spark, folder, "embeddings"))
+
+
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(table(spark, folder, "pages"), URL_RULES)
 
@@ -69,6 +74,7 @@ QUERIES = {
         op5_mixing,
         op6_quality,
         op7_substring_dedup,
+        op8_embedding_neighbours,
         op9_url_filter,
         op10_jaccard_join,
     ]
