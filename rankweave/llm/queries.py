@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rankweave.llm.embeddings import link_embeddings
+from rankweave.llm.extraction import extract_text
 from rankweave.llm.jaccard import join_similar
 from rankweave.llm.mixing import mix_sources
 from rankweave.llm.packing import pack
 from rankweave.llm.quality import judge_quality
 from rankweave.llm.secrets import scan_secrets
 from rankweave.llm.substrings import dedup_substrings
+from rankweave.llm.toxicity import score_toxicity
 from rankweave.llm.url_filter import filter_urls
 from rankweave.plans.table_inputs import table
 
@@ -36,6 +38,14 @@ def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(table(spark, folder, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), **tokenizer_files())
 
@@ -70,6 +80,8 @@ QUERIES = {
     query.__name__: query
     for query in [
         op1_secret_scans,
+        op2_toxicity,
+        op3_html_extraction,
         op4_packing,
         op5_mixing,
         op6_quality,
