@@ -170,7 +170,8 @@ def join_similar(
 
     Two documents are linked if the sets of their ``shingle``-word shingles have a Jaccard similarity of at least
     ``threshold``. ``n_links``: documents linked with this one; ``class_id``: the smallest doc_id that links lead to,
-    itself included; ``copy_id``: the smallest doc_id with the same set; ``kept``: whether the row has its class's id. Texts under ``shingle`` words have one shingle, all their words. Texts without words, null among them, are
+    itself included; ``copy_id``: the smallest doc_id with the same set; ``kept``: whether the row is its class's
+    first by id. Texts under ``shingle`` words have one shingle, all their words. Texts without words, null among them, are
     linked with nothing. Null ids come after all others. Repeated rows are copies of each other with the same result,
     and ``row``, a hash of id and text, is the same for them. An empty table gives an empty result.
 
@@ -208,12 +209,8 @@ def join_similar(
     classes = stored(
         signed.where("size > 0")
         .groupBy("set1", "set2")
-        .agg(
-            F.min("row").alias("row"),
-            F.count(F.lit(1)).alias("copies"),
-            F.min(last_id).alias("copy_id"),
-            F.max("size").alias("size"),
-        ),
+        .agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(last_id.alias("id"), "row")).alias("first"))
+        .select("set1", "set2", "copies", F.col("first.id").alias("copy_id"), F.col("first.row").alias("row")),
         "classes",
     )
 
@@ -277,25 +274,29 @@ def join_similar(
         .withColumn("root", F.coalesce("root", "row"))
     )
     placed = stored(placed, "placed")
-    heads = stored(placed.groupBy("root").agg(F.min("copy_id").alias("class_id")), "heads")
+    first = F.min(F.struct("copy_id", "row")).alias("first")
+    heads = stored(
+        placed.groupBy("root").agg(first).select("root", F.col("first.copy_id").alias("class_id"), F.col("first.row").alias("head")),
+        "heads",
+    )
     result = stored(
         placed.join(heads, "root").select(
             F.col("set1").alias("s1"),
             F.col("set2").alias("s2"),
             "class_id",
+            "head",
             "copy_id",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         ),
         "result",
     )
     same = (signed["set1"] == result["s1"]) & (signed["set2"] == result["s2"]) & (signed["size"] > 0)
-    own = F.coalesce("class_id", last_id)
     null_id = F.lit(2**63 - 1)
     return signed.join(result, same, "left").select(
         "doc_id",
-        F.nullif(own, null_id).alias("class_id"),
+        F.nullif(F.coalesce("class_id", last_id), null_id).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.nullif(F.coalesce("copy_id", last_id), null_id).alias("copy_id"),
-        (own == last_id).alias("kept"),
+        (F.coalesce("head", "row") == F.col("row")).alias("kept"),
         "row",
     )

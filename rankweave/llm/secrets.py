@@ -120,7 +120,7 @@ def scan_secrets(
     )
     scanned = stored(chosen.mapInArrow(_scan, schema).withColumn("_row", F.monotonically_increasing_id()), "secrets")
     found = scanned.select("_row", F.col("_repository").alias("repository"), F.col("_owner").alias("owner"), F.explode("_candidates").alias("c"))
-    counts = ownership(found.select(F.col("c.hash").alias("hash"), "repository", "owner"))
+    counts = stored(ownership(found.select(F.col("c.hash").alias("hash"), "repository", "owner")), "ownership")
     owned = (
         found.select("_row", "c", F.col("c.hash").alias("hash"))
         .join(counts, "hash")
@@ -129,7 +129,10 @@ def scan_secrets(
         .agg(F.collect_list("c").alias("_found"))
     )
     found_all = F.coalesce("_found", F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean>>"))
-    joined = scanned.join(owned, "_row", "left").withColumn("_all", found_all)
+    # Rows without a candidate need no join.
+    matched = scanned.where(F.size("_candidates") > 0).join(owned, "_row")
+    unmatched = scanned.where(F.size("_candidates") == 0)
+    joined = matched.unionByName(unmatched, allowMissingColumns=True).withColumn("_all", found_all)
     base = F.filter("_all", lambda c: c["kind"] < len(BASE_KINDS))
     spans = F.filter("_all", lambda c: (c["kind"] < len(BASE_KINDS)) | c["live"])
 
