@@ -8,7 +8,6 @@ operators' docstrings say; columns that happen to have an operator's internal na
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from rankweave.llm.mixing import mix_sources
 from rankweave.llm.packing import pack
 from rankweave.llm.quality import judge_quality
 from rankweave.llm.queries import tokenizer_files
-from rankweave.llm.secrets import redact, scan_secrets
+from rankweave.llm.secrets import redacted, scan_secrets
 from rankweave.llm.store import stored
 from rankweave.plans.table_inputs import table
 
@@ -39,16 +38,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keyed.join(heads, "row").dropDuplicates(["row"]).select("doc.*")
 
 
-@F.pandas_udf("string")
-def _redacted(text: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([redact(t, s) if s else t for t, s in zip(text, spans)], dtype=object)
-
-
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a placeholder for each secret; ``n_chars`` follows the text."""
     found = scan_secrets(_boxed(docs), keep=["doc"])
-    text = F.when(F.col("spans") == "", F.col("doc.text")).otherwise(_redacted(F.col("doc.text"), F.col("spans")))
-    changed = found.select("doc", "spans", text.alias("cleaned"))
+    changed = found.select("doc", "spans", redacted(F.col("doc.text"), F.col("spans")).alias("cleaned"))
     length = F.when(F.col("spans") == "", F.col("doc.n_chars")).otherwise(F.length("cleaned"))
     new = {"text": F.col("cleaned"), "n_chars": length.cast(docs.schema["n_chars"].dataType)}
     return changed.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])

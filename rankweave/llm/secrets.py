@@ -8,6 +8,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -162,3 +163,13 @@ def redact(text: str, spans: str, placeholder: str = PLACEHOLDER) -> str:
             parts += [text[end:begin], placeholder]
         end = max(end, stop)
     return "".join([*parts, text[end:]])
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """``redact`` as a column; texts without spans are passed by."""
+
+    @F.pandas_udf("string")
+    def replace(texts: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([redact(t, s) if s else t for t, s in zip(texts, found)], dtype=object)
+
+    return F.when(spans == "", text).otherwise(replace(text, spans))
