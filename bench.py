@@ -32,6 +32,7 @@ def session() -> SparkSession:
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("bench")
         .config("spark.sql.shuffle.partitions", CPUS)
+        .config("spark.checkpoint.compress", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -35,8 +35,9 @@ def split_terms(text: Column, delimiters: str = DELIMITERS) -> Column:
     return F.split(F.lower(kept), f"[{escaped}]+")
 
 
-def query_terms(keywords: str | Iterable[str]) -> list[str]:
-    """Distinct normalised terms of a keyword string or list, in order."""
-    words = keywords.split(" ") if isinstance(keywords, str) else keywords
+def query_terms(keywords: str | Iterable[str], delimiters: str = DELIMITERS) -> list[str]:
+    """Distinct terms of a keyword string or list, in order, cut and normalised like the text of an index."""
+    texts = [keywords] if isinstance(keywords, str) else keywords
+    words = (word for text in texts for word in re.split(f"[{re.escape(delimiters)}]+", text))
     terms = (re.sub(f"[^{LETTERS}]", "", word).lower() for word in words)
     return [term for term in dict.fromkeys(terms) if term]

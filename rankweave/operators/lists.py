@@ -1,54 +1,62 @@
-"""Arrays per key that never hold more than about one partition's entries."""
+"""Arrays per key of at most about a fixed number of entries.
+
+A key with more entries has several rows, told apart by ``part``, which is 0 for
+all others. The part of an entry is a hash of the entry modulo the number of
+parts, so rows depend neither on settings nor on how the data is partitioned.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.operators.skew import heavy_keys, with_parts
-from rankweave.runtime import shuffle_partitions
+from rankweave.runtime import checkpoint
 
-# A list this long is still an easy row, whatever the share of its key.
-MIN_LIST_BOUND = 1_000_000
+LIST_ENTRIES = 100_000
 
 
-def long_lists(rows: DataFrame, key: str, size: Column, max_list: int | None = None) -> tuple[DataFrame, Column]:
-    """Keys to split, and the entries a list may have: an average partition's, but no fewer than the floor.
+def long_keys(rows: DataFrame, key: str, size: Column, max_list: int) -> DataFrame:
+    """Keys with more than ``max_list`` entries: ``long(long_key, parts)``.
 
-    ``max_list`` lowers the floor. Both stay lazy: the total is a scalar subquery.
+    They are counted now and stored, so that a join with them can be split by
+    key wherever the rows are skewed, or broadcast if they turn out to be few.
     """
-    floor = MIN_LIST_BOUND if max_list is None else max(int(max_list), 1)
-    sizes = rows.groupBy(key).agg(F.sum(size).alias("entries"))
-    total = sizes.agg(F.sum("entries")).scalar()
-    bound = F.greatest(F.lit(float(floor)), total / shuffle_partitions(rows.sparkSession))
-    return heavy_keys(sizes, key, "entries", bound), bound
+    if max_list < 1:
+        raise ValueError("max_list must be at least 1")
+    sizes = rows.groupBy(F.col(key).alias("long_key")).agg(F.sum(size).alias("entries"))
+    parts = F.ceil(F.col("entries") / max_list).cast("long")
+    return checkpoint(sizes.where(F.col("entries") > max_list).select("long_key", parts.alias("parts")))
+
+
+def with_list_parts(rows: DataFrame, key: str, long: DataFrame) -> DataFrame:
+    """Rows with the number of ``parts`` of their key, one for most."""
+    joined = rows.join(long, F.col(key) == F.col("long_key"), "left").drop("long_key")
+    return joined.withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
 
 
-def collect_items(rows: DataFrame, key: str, items: list[str], name: str, heavy: DataFrame) -> DataFrame:
+def collect_items(rows: DataFrame, key: str, items: list[str], name: str, max_list: int) -> DataFrame:
     """One sorted array of ``items``, distinct within their key, per key and ``part``."""
     item = F.col(items[0]) if len(items) == 1 else F.struct(*items)
     part = F.pmod(F.xxhash64(*items), F.col("parts"))
     return (
-        with_parts(rows, key, heavy)
+        with_list_parts(rows, key, long_keys(rows, key, F.lit(1), max_list))
         .groupBy(key, part.alias("part"))
         .agg(F.sort_array(F.collect_list(item)).alias(name))
     )
 
 
 def collect_copies(
-    rows: DataFrame, key: str, item: str, copies: str, name: str, heavy: DataFrame, bound: Column
+    rows: DataFrame, key: str, item: str, copies: str, name: str, long: DataFrame, max_list: int
 ) -> DataFrame:
     """Like ``collect_items`` with each item as often as ``copies`` says.
 
     Many copies of one item come in chunks, so that they can be spread as well.
     """
-    limit = F.col("limit")
-    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / limit))
-    chunk_size = F.least(limit, F.col(copies) - F.col("chunk") * limit).cast("int")
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / max_list))
+    chunk_size = F.least(F.lit(max_list), F.col(copies) - F.col("chunk") * max_list).cast("int")
     part = F.pmod(F.pmod(F.xxhash64(item), F.col("parts")) + F.col("chunk"), F.col("parts"))
     return (
-        with_parts(rows, key, heavy)
-        .withColumn("limit", bound.cast("long"))
+        with_list_parts(rows, key, long)
         .withColumn("chunk", F.explode(chunks))
         .groupBy(key, part.alias("part"))
         .agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col(item), chunk_size)))).alias(name))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.functions.terms import query_terms
-from rankweave.sources.index_table import BUCKET, term_bucket
+from rankweave.sources.index_table import BUCKET, BUCKETS, term_bucket
 
 Terms = str | Iterable[str]
 
@@ -22,7 +22,7 @@ def lookup_terms(postings: DataFrame, terms: Terms) -> DataFrame:
     words = query_terms(terms)
     found = postings.where(F.col("term").isin(words))
     if BUCKET in postings.columns:
-        found = found.where(F.col(BUCKET).isin([term_bucket(F.lit(word)) for word in words]))
+        found = found.where(F.col(BUCKET).isin([term_bucket(F.lit(word), F.col(BUCKETS)) for word in words]))
     return found.select("term", "doc", "tf")
 
 

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankweave.operators.lists import collect_copies, long_lists
+from rankweave.operators.lists import LIST_ENTRIES, collect_copies, long_keys, with_list_parts
 from rankweave.operators.skew import heavy_keys, per_part, with_parts
-from rankweave.runtime import checkpoint, checkpoint_with_layout, shuffle_partitions
+from rankweave.runtime import checkpoint, checkpoint_with_layout, shuffle_partitions, stored
 
 # The rank every source starts with, whatever the damping, and the defaults.
 INITIAL_RANK = 0.85
@@ -49,33 +49,39 @@ def node_set(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("page")).union(edges.select("dst")).distinct()
 
 
-def init_ranks(edges: DataFrame, initial_rank: float = INITIAL_RANK, max_list: int | None = None) -> DataFrame:
-    """``edges`` to ``adjacency(page, rank, links)``: every source with its links, duplicates included.
+def init_ranks(
+    edges: DataFrame | Graph, initial_rank: float = INITIAL_RANK, max_list: int = LIST_ENTRIES
+) -> DataFrame:
+    """``edges`` to ``adjacency(page, part, rank, links)``: every source with its links, duplicates included.
 
-    An export form. A source has one row unless its list is too long for one,
-    see ``long_lists``; its rows together hold its links.
+    An export form. A source has one row of ``part`` 0 unless it has more than
+    ``max_list`` links; its rows together hold its links.
     """
     lists, _ = _link_lists(edges, max_list)
-    return lists.select("page", F.lit(float(initial_rank)).alias("rank"), "links")
+    return lists.select("page", "part", F.lit(float(initial_rank)).alias("rank"), "links")
+
 
+def rank_state(edges: DataFrame | Graph, ranks: DataFrame, max_list: int = LIST_ENTRIES) -> DataFrame:
+    """``ranks(page, rank)`` with the links of each page: ``adjacency``, as it stands between rounds.
 
-def rank_state(edges: DataFrame, ranks: DataFrame, max_list: int | None = None) -> DataFrame:
-    """``ranks(page, rank)`` with the links of each page: ``adjacency``, as it stands between rounds."""
-    lists, heavy = _link_lists(edges, max_list)
+    Given the graph that the ranks come from, its links are not counted again.
+    """
+    lists, long = _link_lists(edges, max_list)
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
     return (
-        per_part(ranks, "page", heavy)
+        with_list_parts(ranks, "page", long)
+        .withColumn("part", parts)
         .join(lists, ["page", "part"], "left")
-        .select("page", "rank", F.coalesce("links", F.array().cast("array<string>")).alias("links"))
+        .select("page", "part", "rank", F.coalesce("links", F.array().cast("array<string>")).alias("links"))
     )
 
 
-def _link_lists(edges: DataFrame, max_list: int | None) -> tuple[DataFrame, DataFrame]:
-    # Both are read several times below, and the edges may come straight from a dump.
-    links = checkpoint(count_links(edges))
-    heavy, bound = long_lists(links, "src", F.col("copies"), max_list)
-    heavy = checkpoint(heavy)
-    lists = collect_copies(links, "src", "dst", "copies", "links", heavy, bound)
-    return lists.withColumnRenamed("src", "page"), heavy
+def _link_lists(edges: DataFrame | Graph, max_list: int) -> tuple[DataFrame, DataFrame]:
+    # The links are read twice, and edges may come straight from a dump.
+    links = edges.links if isinstance(edges, Graph) else stored(count_links(edges), "links")
+    long = long_keys(links, "src", F.col("copies"), max_list)
+    lists = collect_copies(links, "src", "dst", "copies", "links", long, max_list)
+    return lists.withColumnRenamed("src", "page"), long
 
 
 def adjacency_edges(adjacency: DataFrame) -> DataFrame:
@@ -94,11 +100,12 @@ def _outgoing(links: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Graph:
-    """Weighted links laid out for the rounds, and their sources; ``heavy`` is set when some were split."""
+    """Weighted links laid out for the rounds, their sources, and the counted links; ``heavy`` is set when some were split."""
 
     weights: DataFrame
     sources: DataFrame
     heavy: DataFrame | None
+    links: DataFrame
 
     @property
     def key(self) -> list[str]:
@@ -117,27 +124,24 @@ def lay_out(edges: DataFrame, min_heavy_links: int = MIN_HEAVY_LINKS) -> Graph:
     partitions by a hash of the target, so a hub does not end up in one task.
     """
     partitions = shuffle_partitions(edges.sparkSession)
-    links = count_links(edges).persist()
-    try:
-        sources = checkpoint(_outgoing(links))
-        sizes = sources.agg(F.max("targets").alias("largest"), F.sum("targets").alias("total")).first()
-        bound = max((sizes["total"] or 0) / partitions, min_heavy_links)
-        heavy, key, spread, outgoing = None, ["src"], links, sources
-        if (sizes["largest"] or 0) > bound:
-            heavy = checkpoint(heavy_keys(sources, "src", "targets", F.lit(bound), PART_FINENESS))
-            key = ["src", "part"]
-            part = F.pmod(F.xxhash64("dst"), F.col("parts"))
-            spread = with_parts(links, "src", heavy).withColumn("part", part)
-            outgoing = per_part(sources, "src", heavy)
-        weights = (
-            spread.repartition(partitions, *key)
-            .join(outgoing, key)
-            .select(*key, "dst", (F.col("copies") / F.col("out")).alias("weight"))
-            .sortWithinPartitions(*key)
-        )
-        return Graph(checkpoint_with_layout(weights), sources.select(F.col("src").alias("page")), heavy)
-    finally:
-        links.unpersist()
+    links = stored(count_links(edges), "links")
+    sources = stored(_outgoing(links), "sources")
+    sizes = sources.agg(F.max("targets").alias("largest"), F.sum("targets").alias("total")).first()
+    bound = max((sizes["total"] or 0) / partitions, min_heavy_links)
+    heavy, key, spread, outgoing = None, ["src"], links, sources
+    if (sizes["largest"] or 0) > bound:
+        heavy = checkpoint(heavy_keys(sources, "src", "targets", F.lit(bound), PART_FINENESS))
+        key = ["src", "part"]
+        part = F.pmod(F.xxhash64("dst"), F.col("parts"))
+        spread = with_parts(links, "src", heavy).withColumn("part", part)
+        outgoing = per_part(sources, "src", heavy)
+    weights = (
+        spread.repartition(partitions, *key)
+        .join(outgoing, key)
+        .select(*key, "dst", (F.col("copies") / F.col("out")).alias("weight"))
+        .sortWithinPartitions(*key)
+    )
+    return Graph(checkpoint_with_layout(weights), sources.select(F.col("src").alias("page")), heavy, links)
 
 
 def contributions(graph: Graph, ranks: DataFrame | None, missing: float = INITIAL_RANK) -> DataFrame:
@@ -192,6 +196,21 @@ def rank_pages(
     return update_ranks(contributions(graph, ranks, missing), graph.sources, damping)
 
 
+def number_ranks(ranks: DataFrame) -> DataFrame:
+    """``order_ranks`` with the place of each row from 1: ``numbered(place, rank, page)``.
+
+    The sorted ranks are stored with their place within their partition; only the sizes of the partitions are summed.
+    """
+    within = F.monotonically_increasing_id()
+    ordered = stored(order_ranks(ranks).withColumn("_id", within), "ordered")
+    ordered = ordered.withColumn("_partition", F.shiftright("_id", 33))
+    before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ordered.groupBy("_partition").agg(F.count("*").alias("_rows"))
+    offsets = offsets.select("_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    place = F.col("_offset") + F.col("_id") - F.shiftleft("_partition", 33) + 1
+    return ordered.join(offsets, "_partition").select(place.alias("place"), "rank", "page")
+
+
 def order_ranks(ranks: DataFrame) -> DataFrame:
     """Ranks in ascending order, equal ones by page: the page also splits long runs of one rank."""
     return ranks.select("rank", "page").orderBy("rank", "page")

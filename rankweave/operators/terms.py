@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.functions.terms import DELIMITERS, split_terms
-from rankweave.operators.lists import collect_items, long_lists
+from rankweave.operators.lists import LIST_ENTRIES, collect_items
 
 
 def tokenize(pages: DataFrame, delimiters: str = DELIMITERS) -> DataFrame:
@@ -28,11 +28,10 @@ def count_terms(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("term", "doc").agg(F.count("*").alias("tf"))
 
 
-def posting_lists(postings: DataFrame, max_list: int | None = None) -> DataFrame:
-    """``postings`` to ``posting_lists(term, postings)`` for export, each list sorted by document.
+def posting_lists(postings: DataFrame, max_list: int = LIST_ENTRIES) -> DataFrame:
+    """``postings`` to ``posting_lists(term, part, postings)`` for export, each list sorted by document.
 
-    A term has one row unless its list is too long for one, see ``long_lists``.
+    A term has one row of ``part`` 0 unless it has more than ``max_list`` postings.
     The input is read twice, so pass a stored index.
     """
-    heavy, _ = long_lists(postings, "term", F.lit(1), max_list)
-    return collect_items(postings, "term", ["doc", "tf"], "postings", heavy).select("term", "postings")
+    return collect_items(postings, "term", ["doc", "tf"], "postings", max_list).select("term", "part", "postings")

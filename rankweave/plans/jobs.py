@@ -9,7 +9,7 @@ from rankweave.operators.pages import extract_links, extract_pages
 from rankweave.operators.rank import DAMPING, INITIAL_RANK, ITERATIONS, order_ranks, rank_pages
 from rankweave.operators.terms import count_terms, posting_lists, tokenize
 from rankweave.sources import readers, writers
-from rankweave.sources.index_table import write_index
+from rankweave.sources.index_table import read_index, write_index
 
 
 def link_rank(
@@ -34,18 +34,29 @@ def search(terms: Terms, postings: DataFrame, ranks: DataFrame) -> DataFrame:
 
 
 def rank_dump(
-    spark: SparkSession, dump: str, output: str, damping: float = DAMPING, iterations: int = ITERATIONS
+    spark: SparkSession,
+    dump: str,
+    output: str,
+    damping: float = DAMPING,
+    iterations: int = ITERATIONS,
+    initial_rank: float = INITIAL_RANK,
 ) -> None:
     """Rank the pages of a dump into ``rank<tab>page`` text files; an earlier output is replaced."""
     edges = extract_links(extract_pages(readers.read_pages(spark, dump)))
-    writers.write_ranks(rank_pages(edges, damping, iterations), output)
+    writers.write_ranks(rank_pages(edges, damping, iterations, initial_rank), output)
 
 
 def rank_edge_list(
-    spark: SparkSession, edge_list: str, output: str, damping: float = DAMPING, iterations: int = ITERATIONS
+    spark: SparkSession,
+    edge_list: str,
+    output: str,
+    damping: float = DAMPING,
+    iterations: int = ITERATIONS,
+    initial_rank: float = INITIAL_RANK,
 ) -> None:
     """Like ``rank_dump`` for ``src<tab>dst`` text files."""
-    writers.write_ranks(rank_pages(readers.read_edge_list(spark, edge_list), damping, iterations), output)
+    edges = readers.read_edge_list(spark, edge_list)
+    writers.write_ranks(rank_pages(edges, damping, iterations, initial_rank), output)
 
 
 def index_dump(spark: SparkSession, dump: str, output: str) -> None:
@@ -58,7 +69,13 @@ def export_index(postings: DataFrame, output: str) -> None:
     writers.write_posting_lists(posting_lists(postings), output)
 
 
+def search_index(spark: SparkSession, terms: Terms, index: str, ranks: str, output: str) -> None:
+    """Search a stored index with rank text files into ``doc<tab>score`` text files; reads only what the terms need."""
+    postings = read_index(spark, index)
+    writers.write_results(search(terms, postings, readers.read_ranks(spark, ranks)), output)
+
+
 def search_files(spark: SparkSession, terms: Terms, index: str, ranks: str, output: str) -> None:
-    """Search posting-list and rank text files into ``doc<tab>score`` text files."""
+    """Like ``search_index`` on posting-list text files, all of which it reads."""
     postings = readers.read_posting_lists(spark, index)
     writers.write_results(search(terms, postings, readers.read_ranks(spark, ranks)), output)

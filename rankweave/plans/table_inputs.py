@@ -101,6 +101,64 @@ def status_edges(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(F.inline(both))
 
 
+# Link texts that reach every rule, x and y standing for words; one document in sixteen has each.
+RULE_TEXTS = [
+    "see [x] here",
+    "[[x#y|z]]",
+    "[[x|y#z]] and [[y]]",
+    "[[-x]] [[.x]] [['x]] [[{x]]",
+    "[[:x]] [[x:y]]",
+    "[[x&y]] [[&x]]",
+    "[[ x\ty ]]",
+    "[[|x]] [[#x]]",
+    "[[x|" + "z" * 120 + "]] [[x|" + "z" * 90 + "]]",
+    "[[x\U0001f600y]]",
+    "[[File:x.png|see [[y]]]] [[y]]",
+    "[[x,y]] [[,x]]",
+    "[[]] [[x]]",
+    "[[x|y|z]] [1]",
+    "[[" + "\U0001f600" * 60 + "]] [[" + "\U0001f600" * 40 + "]]",
+    "[[x]] [[x|y]] [[x]]",
+]
+
+
+def rule_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """A page for each document whose links touch one of the link rules."""
+    number = F.col("doc_id").cast("string")
+    half = F.expr("CAST(doc_id div 2 AS STRING)")
+    text = F.element_at(F.array(*map(F.lit, RULE_TEXTS)), (F.col("doc_id") % len(RULE_TEXTS) + 1).cast("int"))
+    for letter, word in (("x", F.concat(F.lit("Doc "), number)), ("y", F.concat(F.lit("Doc_"), half))):
+        text = F.replace(text, F.lit(letter), word)
+    return table(spark, folder, "documents").select(F.concat(F.lit("Doc_"), number).alias("page"), text.alias("text"))
+
+
+def write_rule_dump(spark: SparkSession, folder: str) -> str:
+    """The same pages as a page dump; return its path."""
+    record = F.concat(
+        F.lit("  <page><title>"), F.col("page"), F.lit("</title>\n<text xml:space='preserve'>"), F.col("text"), F.lit("</text></page>")
+    )
+    path = fresh_path(spark, "dump")
+    rule_pages(spark, folder).select(record.alias("value")).write.text(path)
+    return path
+
+
+def page_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with and without titles, texts and namespaces, one document in six of each."""
+    text = F.concat(F.lit("<text>"), "doc_id", F.lit(" [[x]]</text>"))
+    title = F.concat(F.lit("<title>Doc "), "doc_id", F.lit("</title>"))
+    talk = F.concat(F.lit("<title>Talk:"), "doc_id", F.lit("</title>"))
+    kinds = F.array(
+        F.concat(title, text),
+        F.concat(talk, text),
+        title,
+        F.concat(title, F.lit("<text />")),
+        text,
+        F.concat(title, F.lit("<ns>0</ns>"), F.replace(text, F.lit("<text>"), F.lit('<text xml:space="preserve">'))),
+    )
+    kind = F.element_at(kinds, (F.col("doc_id") % 6 + 1).cast("int"))
+    return table(spark, folder, "documents").select(F.concat(F.lit("<page>"), kind).alias("value"))
+
+
 def _escaped(text: Column) -> Column:
     for char, entity in [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")]:
         text = F.replace(text, F.lit(char), F.lit(entity))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from rankweave.functions.terms import query_terms
-from rankweave.plans.table_queries import FEW_TERMS, MANY_TERMS
-
 # --- inputs -----------------------------------------------------------------
 
 TITLE = r"regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"
@@ -27,12 +24,37 @@ wiki AS (
         regexp_replace(html, '<a href="/([^"]*)">([^<]*)</a>', '[[\1|\2]]', 'g') AS text
     FROM pages
     WHERE NOT contains({TITLE}, ':')
+)"""
+
+RULES = """
+texts AS (
+    SELECT 'Doc_' || doc_id AS page, 'Doc ' || doc_id AS x, 'Doc_' || (doc_id // 2) AS y, CASE doc_id % 16
+        WHEN 0 THEN 'see [x] here'
+        WHEN 1 THEN '[[x#y|z]]'
+        WHEN 2 THEN '[[x|y#z]] and [[y]]'
+        WHEN 3 THEN '[[-x]] [[.x]] [[''x]] [[{x]]'
+        WHEN 4 THEN '[[:x]] [[x:y]]'
+        WHEN 5 THEN '[[x&y]] [[&x]]'
+        WHEN 6 THEN '[[ x' || chr(9) || 'y ]]'
+        WHEN 7 THEN '[[|x]] [[#x]]'
+        WHEN 8 THEN '[[x|' || repeat('z', 120) || ']] [[x|' || repeat('z', 90) || ']]'
+        WHEN 9 THEN '[[x' || chr(128512) || 'y]]'
+        WHEN 10 THEN '[[File:x.png|see [[y]]]] [[y]]'
+        WHEN 11 THEN '[[x,y]] [[,x]]'
+        WHEN 12 THEN '[[]] [[x]]'
+        WHEN 13 THEN '[[x|y|z]] [1]'
+        WHEN 14 THEN '[[' || repeat(chr(128512), 60) || ']] [[' || repeat(chr(128512), 40) || ']]'
+        ELSE '[[x]] [[x|y]] [[x]]' END AS form
+    FROM documents
 ),
+wiki AS (SELECT page, replace(replace(form, 'x', x), 'y', y) AS text FROM texts)"""
+
+PIECES = r"""
 pieces AS (
-    SELECT page, unnest(regexp_extract_all(text, '\[[^\n\r\x{{85}}\x{{2028}}\x{{2029}}]+?\]')) AS link FROM wiki
+    SELECT page, unnest(regexp_extract_all(text, '\[[^\n\r\x{85}\x{2028}\x{2029}]+?\]')) AS link FROM wiki
 )"""
 
-WIKI_EDGES = rf"""{WIKI},
+LINKS = rf"""{PIECES},
 measured AS (
     SELECT page, link, CASE WHEN starts_with(link, '[[') THEN 2 ELSE 1 END AS width,
         length(link) + length(regexp_replace(link, '[^\x{{10000}}-\x{{10FFFF}}]', '', 'g')) AS units,
@@ -51,6 +73,8 @@ targets AS (
 ),
 edges AS (SELECT src, dst FROM targets WHERE dst <> '')"""
 
+WIKI_EDGES = f"{WIKI},{LINKS}"
+
 DOCUMENTS = "docs AS (SELECT CAST(doc_id AS VARCHAR) AS page, text FROM documents)"
 
 DOCUMENT_EDGES = """
@@ -116,8 +140,12 @@ TOKENS = _tokens("[ ''-]")
 POSTINGS = f"{TOKENS},\npostings AS (SELECT term, doc, count(*) AS tf FROM tokens GROUP BY term, doc)"
 
 
-def _found(keywords: str) -> str:
-    terms = ", ".join(f"'{term}'" for term in query_terms(keywords))
+# The terms of the keywords in the queries, written out.
+FEW_TERMS = "'the', 'and'"
+MANY_TERMS = "'the', 'that', 's', 'with', 'de', 'la', 'und', 'jean', 'louis'"
+
+
+def _found(terms: str) -> str:
     return f"found AS (SELECT term, doc, tf FROM postings WHERE term IN ({terms}))"
 
 
@@ -150,6 +178,10 @@ def _scores(rounds: int) -> str:
     return f"SELECT doc, round(tf * rank, 8) AS score FROM hits JOIN ranks{rounds} ON doc = page"
 
 
+def _inner_ranks(rounds: int, damping: float) -> str:
+    return f"WITH {_ranks(rounds, damping)} SELECT page, round(rank, 8) AS rank FROM ranks{rounds}"
+
+
 def _rank_query(edges: str, rounds: int, damping: float = 0.85) -> str:
     return f"WITH {edges},{_ranks(rounds, damping)} SELECT page, round(rank, 8) AS rank FROM ranks{rounds}"
 
@@ -157,6 +189,12 @@ def _rank_query(edges: str, rounds: int, damping: float = 0.85) -> str:
 ADJACENCY = """SELECT src AS page, CAST(0.85 AS DOUBLE) AS rank, string_agg(dst, ',' ORDER BY dst) AS links
 FROM edges GROUP BY src"""
 
+
+def _split_sizes(key: str, rows: str) -> str:
+    return f"""SELECT {key}, count(*) AS entries, count(*) > 20 AS split, TRUE AS parts_differ
+FROM {rows} GROUP BY {key}"""
+
+
 EDGES = f"WITH {ACCOUNT_EDGES} SELECT src, dst FROM edges"
 FOUND_POSTINGS = f"WITH {DOCUMENTS},{POSTINGS} SELECT term, doc, tf FROM postings"
 DOC_HITS = f"WITH {DOCUMENTS},{POSTINGS},{_found(FEW_TERMS)},{HITS} SELECT doc, tf FROM hits"
@@ -165,16 +203,17 @@ ORACLES = {
     "page_titles": f"WITH {ARTICLES} SELECT page FROM articles",
     "page_bodies": f"WITH {ARTICLES} SELECT page, text FROM articles",
     "page_dump": f"WITH {DUMP} SELECT page, text FROM docs",
-    "link_pieces": f"WITH {WIKI} SELECT page, link FROM pieces",
+    "link_pieces": f"WITH {WIKI},{PIECES} SELECT page, link FROM pieces",
     "wiki_links": f"WITH {WIKI_EDGES} SELECT src, dst FROM edges",
     "edge_list_parse": EDGES,
     "edge_list_file": EDGES,
     "out_degree": f"WITH {ACCOUNT_EDGES} SELECT src AS page, count(*) AS links FROM edges GROUP BY src",
     "node_set": f"WITH {ACCOUNT_EDGES} SELECT src AS page FROM edges UNION SELECT dst FROM edges",
-    "adjacency_init": f"WITH {DOCUMENT_EDGES} {ADJACENCY}",
+    "adjacency_init": f"WITH {DOCUMENT_EDGES} SELECT *, CAST(0 AS BIGINT) AS part FROM ({ADJACENCY})",
     "rank_state_file": f"WITH {ACCOUNT_EDGES} {ADJACENCY}",
     "rank_state_rounds": f"""WITH {ACCOUNT_EDGES},{_ranks(2)}
-SELECT page, round(rank, 8) AS rank, coalesce(string_agg(dst, ',' ORDER BY dst), '') AS links
+SELECT page, CAST(0 AS BIGINT) AS part, round(rank, 8) AS rank,
+    coalesce(string_agg(dst, ',' ORDER BY dst), '') AS links
 FROM ranks2 LEFT JOIN edges ON src = page GROUP BY page, rank""",
     "link_contributions": f"""WITH {ACCOUNT_EDGES},{WEIGHTS}
 SELECT dst AS page, rank * weight AS contribution FROM weights JOIN ranks0 ON src = page""",
@@ -185,7 +224,19 @@ SELECT dst AS page, rank * weight AS contribution FROM weights JOIN ranks0 ON sr
     "rank_damping": _rank_query(ACCOUNT_EDGES, 3, 0.5),
     "rank_resume": _rank_query(ACCOUNT_EDGES, 3),
     "rank_hubs": _rank_query(STATUS_EDGES, 3),
-    "adjacency_hubs": f"WITH {STATUS_EDGES} SELECT src, dst FROM edges",
+    "adjacency_hubs": f"WITH {STATUS_EDGES} {_split_sizes('page', '(SELECT src AS page FROM edges)')}",
+    "adjacency_parts": f"WITH {STATUS_EDGES} SELECT src, dst FROM edges",
+    "rank_rows": f"""WITH {DOCUMENT_EDGES},{_ranks(2)}
+SELECT row_number() OVER (ORDER BY round(rank, 8), page) AS place, round(rank, 8) AS rank, page FROM ranks2""",
+    "rank_clamped": f"""WITH {TRADE_EDGES}
+SELECT 'high' AS setting, page, rank FROM ({_inner_ranks(2, 1.0)})
+UNION ALL SELECT 'low', page, rank FROM ({_inner_ranks(2, 0.0)})
+UNION ALL SELECT 'none', page, rank FROM ({_inner_ranks(1, 0.85)})""",
+    "rank_replaced": _rank_query(DUMP_EDGES, 3),
+    "wiki_rules": f"WITH {RULES},{LINKS} SELECT src, dst FROM edges",
+    "wiki_rules_dump": f"WITH {RULES},{LINKS} SELECT src, dst FROM edges",
+    "page_rules": """SELECT 'Doc_' || doc_id AS page, doc_id || ' [[x]]' AS text
+FROM documents WHERE doc_id % 6 IN (0, 5)""",
     "rank_links": _rank_query(WIKI_EDGES, 3),
     "rank_order": _rank_query(DOCUMENT_EDGES, 2),
     "rank_file": _rank_query(DUMP_EDGES, 2),
@@ -193,9 +244,15 @@ SELECT dst AS page, rank * weight AS contribution FROM weights JOIN ranks0 ON sr
     "tokens_by_line": "WITH {},{} SELECT term, doc FROM tokens".format(DOCUMENTS, _tokens(r"[ ''\n\t-]")),
     "postings": FOUND_POSTINGS,
     "posting_lists": f"""WITH {DOCUMENTS},{POSTINGS}
-SELECT term, string_agg(doc || ':' || tf, ' ' ORDER BY doc) AS postings FROM postings GROUP BY term""",
+SELECT term, CAST(0 AS BIGINT) AS part, string_agg(doc || ':' || tf, ' ' ORDER BY doc) AS postings FROM postings GROUP BY term""",
     "posting_parse": FOUND_POSTINGS,
-    "posting_split": FOUND_POSTINGS,
+    "posting_split": f"WITH {DOCUMENTS},{POSTINGS} {_split_sizes('term', 'postings')}",
+    "posting_parts": FOUND_POSTINGS,
+    "posting_colon": f"WITH {DOCUMENTS},{POSTINGS} SELECT term, 'a:b:' || doc AS doc, tf FROM postings",
+    "malformed_lines": """
+SELECT 'd' || doc_id AS page, CAST(doc_id AS DOUBLE) AS number, kind
+FROM documents, (VALUES ('rank'), ('state'), ('hit'), ('posting')) AS kinds(kind)
+WHERE doc_id % 3 <> 0""",
     "posting_file": FOUND_POSTINGS,
     "index_dump_stored": f"WITH {DUMP},{POSTINGS} SELECT term, doc, tf FROM postings",
     "term_lookup": f"WITH {DOCUMENTS},{POSTINGS},{_found(FEW_TERMS)} SELECT term, doc, tf FROM found",
@@ -205,4 +262,5 @@ SELECT term, string_agg(doc || ':' || tf, ' ' ORDER BY doc) AS postings FROM pos
     "search_few": f"WITH {DOCUMENTS},{POSTINGS},{_found(FEW_TERMS)},{HITS},{DOCUMENT_EDGES},{_ranks(2)} {_scores(2)}",
     "search_many": f"WITH {DOCUMENTS},{POSTINGS},{_found(MANY_TERMS)},{HITS},{DOCUMENT_EDGES},{_ranks(2)} {_scores(2)}",
     "search_dump": f"WITH {DUMP},{POSTINGS},{_found(FEW_TERMS)},{HITS},{DUMP_EDGES},{_ranks(2)} {_scores(2)}",
+    "search_stored": f"WITH {DUMP},{POSTINGS},{_found(FEW_TERMS)},{HITS},{DUMP_EDGES},{_ranks(2)} {_scores(2)}",
 }

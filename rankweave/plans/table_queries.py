@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from rankweave.functions import markup
 from rankweave.operators import lookup, pages, rank, terms
 from rankweave.plans import table_inputs as inputs
-from rankweave.plans.jobs import build_index, index_dump, link_rank, rank_dump, search, search_files
+from rankweave.plans.jobs import build_index, index_dump, link_rank, rank_dump, search, search_files, search_index
 from rankweave.runtime import checkpoint
 from rankweave.sources import readers, writers
 from rankweave.sources.index_table import read_index, write_index
 
 FEW_TERMS = "the and"
-MANY_TERMS = "The that's with de la und"
+MANY_TERMS = "The that's with de la und Jean-Louis"
+SPLIT_AT = 20  # entries of a list in the queries about long lists
 
 
 def _rounded(df: DataFrame, column: str) -> DataFrame:
@@ -74,6 +75,15 @@ def adjacency_init(spark: SparkSession, folder: str) -> DataFrame:
     return adjacency.withColumn("links", F.array_join("links", ","))
 
 
+def _split_sizes(lists: DataFrame, key: str, entries: str) -> DataFrame:
+    """Entries per key, whether it has several rows, and whether these have different parts."""
+    return lists.groupBy(key).agg(
+        F.sum(F.size(entries)).alias("entries"),
+        (F.count("*") > 1).alias("split"),
+        (F.count("*") == F.countDistinct("part")).alias("parts_differ"),
+    )
+
+
 def rank_state_file(spark: SparkSession, folder: str) -> DataFrame:
     path = inputs.fresh_path(spark, "state")
     writers.write_rank_state(rank.init_ranks(inputs.account_edges(spark, folder)), path)
@@ -83,7 +93,8 @@ def rank_state_file(spark: SparkSession, folder: str) -> DataFrame:
 
 def rank_state_rounds(spark: SparkSession, folder: str) -> DataFrame:
     edges = inputs.account_edges(spark, folder)
-    state = rank.rank_state(edges, rank.rank_pages(edges))
+    graph = rank.lay_out(edges)
+    state = rank.rank_state(graph, rank.rank_pages(graph))
     return _rounded(state.withColumn("links", F.array_join("links", ",")), "rank")
 
 
@@ -130,8 +141,14 @@ def rank_hubs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def adjacency_hubs(spark: SparkSession, folder: str) -> DataFrame:
-    """Link lists split as far as they can be, and their links again."""
-    return rank.adjacency_edges(rank.init_ranks(inputs.status_edges(spark, folder), max_list=1))
+    """Which link lists are split into several rows."""
+    lists = rank.init_ranks(inputs.status_edges(spark, folder), max_list=SPLIT_AT)
+    return _split_sizes(lists, "page", "links")
+
+
+def adjacency_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Split link lists, and their links again."""
+    return rank.adjacency_edges(rank.init_ranks(inputs.status_edges(spark, folder), max_list=SPLIT_AT))
 
 
 def rank_links(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,7 +181,7 @@ def postings(spark: SparkSession, folder: str) -> DataFrame:
 def posting_lists(spark: SparkSession, folder: str) -> DataFrame:
     index = checkpoint(build_index(inputs.document_pages(spark, folder)))
     entries = F.transform("postings", lambda p: F.concat_ws(":", p["doc"], p["tf"]))
-    return terms.posting_lists(index).select("term", F.array_join(entries, " ").alias("postings"))
+    return terms.posting_lists(index).select("term", "part", F.array_join(entries, " ").alias("postings"))
 
 
 def posting_parse(spark: SparkSession, folder: str) -> DataFrame:
@@ -180,9 +197,89 @@ def posting_file(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def posting_split(spark: SparkSession, folder: str) -> DataFrame:
-    """Posting lists split as far as they can be, and their postings again."""
+    """Which posting lists are split into several rows."""
+    index = checkpoint(build_index(inputs.document_pages(spark, folder)))
+    return _split_sizes(terms.posting_lists(index, max_list=SPLIT_AT), "term", "postings")
+
+
+def posting_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Split posting lists as lines, and their postings again."""
     index = checkpoint(build_index(inputs.document_pages(spark, folder)))
-    return readers.parse_posting_lists(writers.posting_list_lines(terms.posting_lists(index, max_list=1)))
+    return readers.parse_posting_lists(writers.posting_list_lines(terms.posting_lists(index, max_list=SPLIT_AT)))
+
+
+def posting_colon(spark: SparkSession, folder: str) -> DataFrame:
+    """Posting lists of documents with colons in their names, through lines."""
+    named = inputs.document_pages(spark, folder).withColumn("page", F.concat(F.lit("a:b:"), "page"))
+    index = checkpoint(build_index(named))
+    return readers.parse_posting_lists(writers.posting_list_lines(terms.posting_lists(index)))
+
+
+def malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Rank, state, hit and posting lines of which every third has no number."""
+    number = F.when(F.col("doc_id") % 3 == 0, "none").otherwise(F.col("doc_id").cast("string"))
+    name = F.concat(F.lit("d"), "doc_id")
+    docs = inputs.table(spark, folder, "documents")
+
+    def lines(*columns):
+        return docs.select(F.concat(*columns).alias("value"))
+
+    tab = F.lit("\t")
+    found = [
+        readers.parse_ranks(lines(number, tab, name)).select("page", F.col("rank").alias("number"), F.lit("rank").alias("kind")),
+        readers.parse_rank_state(lines(name, tab, number, tab)).select("page", F.col("rank").alias("number"), F.lit("state").alias("kind")),
+        readers.parse_hits(lines(name, tab, number)).select("doc", F.col("tf").cast("double"), F.lit("hit").alias("kind")),
+        readers.parse_posting_lists(lines(F.lit("t\t"), name, F.lit(":"), number)).select("doc", F.col("tf").cast("double"), F.lit("posting").alias("kind")),
+    ]
+    return found[0].union(found[1]).union(found[2]).union(found[3])
+
+
+def wiki_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract_links(inputs.rule_pages(spark, folder))
+
+
+def wiki_rules_dump(spark: SparkSession, folder: str) -> DataFrame:
+    raw = readers.read_pages(spark, inputs.write_rule_dump(spark, folder))
+    return pages.extract_links(pages.extract_pages(raw))
+
+
+def page_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract_pages(inputs.page_records(spark, folder))
+
+
+def rank_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of each page in ascending order of rank."""
+    return rank.number_ranks(_rounded(rank.rank_pages(inputs.document_edges(spark, folder)), "rank"))
+
+
+def rank_clamped(spark: SparkSession, folder: str) -> DataFrame:
+    """Damping above 1 and below 0, and no rounds."""
+    edges = inputs.trade_edges(spark, folder)
+    high = rank.rank_pages(edges, damping=7).withColumn("setting", F.lit("high"))
+    low = rank.rank_pages(edges, damping=-1).withColumn("setting", F.lit("low"))
+    none = rank.rank_pages(edges, iterations=0).withColumn("setting", F.lit("none"))
+    return _rounded(high.unionByName(low).unionByName(none), "rank")
+
+
+def rank_replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs into one folder: the ranks of the second are left."""
+    path = inputs.fresh_path(spark, "ranks")
+    dump = inputs.write_document_dump(spark, folder)
+    rank_dump(spark, dump, path, iterations=1)
+    rank_dump(spark, dump, path, iterations=3)
+    return _rounded(readers.read_ranks(spark, path), "rank")
+
+
+def search_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """All three jobs over one dump, through the stored index and rank files."""
+    dump = inputs.write_document_dump(spark, folder)
+    paths = [inputs.fresh_path(spark, name) for name in ("ranks", "index", "results")]
+    rank_dump(spark, dump, paths[0])
+    index_dump(spark, dump, paths[1])
+    search_index(spark, FEW_TERMS, paths[1], paths[0], paths[2])
+    parts = F.split("value", "\t", 2)
+    found = spark.read.text(paths[2]).select(parts[0].alias("doc"), parts[1].cast("double").alias("score"))
+    return _rounded(found, "score")
 
 
 def index_dump_stored(spark: SparkSession, folder: str) -> DataFrame:
@@ -262,6 +359,13 @@ QUERIES = {
         rank_resume,
         rank_hubs,
         adjacency_hubs,
+        adjacency_parts,
+        rank_rows,
+        rank_clamped,
+        rank_replaced,
+        wiki_rules,
+        wiki_rules_dump,
+        page_rules,
         rank_links,
         rank_order,
         rank_file,
@@ -271,6 +375,9 @@ QUERIES = {
         posting_lists,
         posting_parse,
         posting_split,
+        posting_parts,
+        posting_colon,
+        malformed_lines,
         posting_file,
         index_dump_stored,
         term_lookup,
@@ -280,5 +387,6 @@ QUERIES = {
         search_few,
         search_many,
         search_dump,
+        search_stored,
     ]
 }

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 ADAPTIVE = "spark.sql.adaptive.enabled"
+_adaptive_off = threading.Lock()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -36,17 +39,32 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a DataFrame as Parquet to the shared folder and read it back.
+
+    Unlike a checkpoint it is compressed whatever the settings, and later reads
+    take only the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def checkpoint_with_layout(df: DataFrame) -> DataFrame:
     """Like ``checkpoint``, but the result still knows how it is partitioned and sorted.
 
     Under adaptive execution the layout is only known at run time and is not
-    carried over, so the write itself is planned without it.
+    carried over, so the write itself is planned without it. The setting belongs
+    to the session: other queries of the session that are planned meanwhile go
+    without it as well, and layouts are written one at a time.
     """
     shared_folder(df.sparkSession)
     conf = df.sparkSession.conf
-    before = conf.get(ADAPTIVE)
-    conf.set(ADAPTIVE, "false")
-    try:
-        return df.checkpoint()
-    finally:
-        conf.set(ADAPTIVE, before)
+    with _adaptive_off:
+        before = conf.get(ADAPTIVE)
+        conf.set(ADAPTIVE, "false")
+        try:
+            return df.checkpoint()
+        finally:
+            conf.set(ADAPTIVE, before)

@@ -5,33 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Part of the stored layout: lookups compute the bucket of a term again.
-BUCKET = "bucket"
+# Part of the stored layout: lookups compute the bucket of a term again, from the number of buckets stored with it.
+BUCKET, BUCKETS = "bucket", "buckets"
 TERM_BUCKETS = 64
 
 
-def term_bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
+def term_bucket(term: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(term), buckets).cast("int")
 
 
-def write_index(postings: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write ``postings(term, doc, tf)``.
+def write_index(
+    postings: DataFrame, path: str, mode: str = "errorifexists", buckets: int = TERM_BUCKETS
+) -> None:
+    """Write ``postings(term, doc, tf)`` in ``buckets`` directories: more for a large index, so that a lookup opens few files.
 
     The ranges run over bucket, term and document, so a frequent term fills as
     many files as it needs while a rare one stays in one row group.
     """
     order = [BUCKET, "term", "doc"]
+    count = F.lit(int(buckets))
     (
-        postings.select("term", "doc", "tf", term_bucket(F.col("term")).alias(BUCKET))
+        postings.select(
+            "term", "doc", "tf", count.alias(BUCKETS), term_bucket(F.col("term"), count).alias(BUCKET)
+        )
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode(mode)
-        .partitionBy(BUCKET)
+        .partitionBy(BUCKETS, BUCKET)
         .parquet(path)
     )
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """``postings(term, doc, tf)`` with the bucket directory as a further column."""
-    schema = f"term string, doc string, tf bigint, {BUCKET} int"
+    """``postings(term, doc, tf)`` with the directories as further columns: number of buckets, and bucket."""
+    schema = f"term string, doc string, tf bigint, {BUCKETS} int, {BUCKET} int"
     return spark.read.schema(schema).parquet(path)

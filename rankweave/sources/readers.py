@@ -1,4 +1,7 @@
-"""Text sources. Each ``read_*`` loads lines; the matching ``parse_*`` turns ``lines(value)`` into columns."""
+"""Text sources. Each ``read_*`` loads lines; the matching ``parse_*`` turns ``lines(value)`` into columns.
+
+Lines without a tab, and entries whose number is none, are skipped everywhere.
+"""
 
 from __future__ import annotations
 
@@ -50,29 +53,32 @@ def read_rank_state(spark: SparkSession, path: str) -> DataFrame:
 def parse_rank_state(lines: DataFrame) -> DataFrame:
     parts = F.split("value", "\t", 3)
     links = F.filter(F.split(F.get(parts, 2), ","), lambda link: link != "")
-    return lines.where(_has_tab()).select(
+    state = lines.where(_has_tab()).select(
         parts[0].alias("page"),
-        parts[1].cast("double").alias("rank"),
+        parts[1].try_cast("double").alias("rank"),
         F.coalesce(links, F.array().cast("array<string>")).alias("links"),
     )
+    return state.where(F.col("rank").isNotNull())
 
 
 def read_posting_lists(spark: SparkSession, path: str) -> DataFrame:
-    """``postings(term, doc, tf)`` from ``term<tab>doc:tf doc:tf `` lines; a term may have several."""
+    """``postings(term, doc, tf)`` from ``term<tab>doc:tf doc:tf `` lines; a term may have several.
+
+    The last colon of an entry ends the document, which may hold others.
+    """
     return parse_posting_lists(spark.read.text(path))
 
 
 def parse_posting_lists(lines: DataFrame) -> DataFrame:
     parts = F.split("value", "\t", 2)
+    count = F.substring_index("posting", ":", -1)
+    doc = F.substring("posting", F.lit(1), F.length("posting") - F.length(count) - 1)
     return (
         lines.where(_has_tab())
         .select(parts[0].alias("term"), F.explode(F.split(parts[1], " ")).alias("posting"))
-        .where(F.col("posting") != "")
-        .select(
-            "term",
-            F.substring_index("posting", ":", 1).alias("doc"),
-            F.substring_index("posting", ":", -1).cast("bigint").alias("tf"),
-        )
+        .where(F.contains("posting", F.lit(":")))
+        .select("term", doc.alias("doc"), count.try_cast("bigint").alias("tf"))
+        .where(F.col("tf").isNotNull())
     )
 
 
@@ -83,9 +89,8 @@ def read_ranks(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_ranks(lines: DataFrame) -> DataFrame:
     parts = F.split("value", "\t", 2)
-    return lines.where(_has_tab()).select(
-        parts[1].alias("page"), parts[0].cast("double").alias("rank")
-    )
+    ranks = lines.where(_has_tab()).select(parts[1].alias("page"), parts[0].try_cast("double").alias("rank"))
+    return ranks.where(F.col("rank").isNotNull())
 
 
 def read_hits(spark: SparkSession, path: str) -> DataFrame:
@@ -95,6 +100,5 @@ def read_hits(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_hits(lines: DataFrame) -> DataFrame:
     parts = F.split("value", "\t", 2)
-    return lines.where(_has_tab()).select(
-        parts[0].alias("doc"), parts[1].cast("bigint").alias("tf")
-    )
+    hits = lines.where(_has_tab()).select(parts[0].alias("doc"), parts[1].try_cast("bigint").alias("tf"))
+    return hits.where(F.col("tf").isNotNull())

@@ -11,7 +11,7 @@ from rankweave.operators.rank import adjacency_edges, adjacency_ranks, init_rank
 from rankweave.operators.terms import posting_lists
 from rankweave.plans import jobs
 from rankweave.sources import readers, writers
-from rankweave.sources.index_table import read_index
+from rankweave.sources.index_table import read_index, write_index
 
 
 def lines_of(path) -> list[str]:
@@ -113,3 +113,18 @@ def test_large_dump_splits_like_a_small_one(spark, tmp_path, conf):
     jobs.rank_dump(spark, str(tmp_path / "dump.xml"), str(tmp_path / "split"))
     whole, split = (dict(rows(readers.read_ranks(spark, str(tmp_path / name)))) for name in ("whole", "split"))
     assert split == pytest.approx(whole, abs=1e-9)
+
+
+def test_lines_without_a_number_are_skipped(spark):
+    lines = spark.createDataFrame([("x\tp",), ("1.5\tq",), ("none",)], "value string")
+    assert rows(readers.parse_ranks(lines)) == [("q", 1.5)]
+    lines = spark.createDataFrame([("t\ta:b:1 a:c:2 d:x e",)], "value string")
+    assert rows(readers.parse_posting_lists(lines)) == [("t", "a:b", 1), ("t", "a:c", 2)]
+
+
+def test_search_over_the_stored_index(spark, postings, tmp_path):
+    index, ranks, found = (str(tmp_path / name) for name in ("index", "ranks", "found"))
+    write_index(postings, index)
+    writers.write_ranks(spark.createDataFrame([("Alpha", 2.0), ("Beta", 3.0)], "page string, rank double"), ranks)
+    jobs.search_index(spark, "beta", index, ranks, found)
+    assert sorted(row["value"] for row in spark.read.text(found).collect()) == ["Alpha\t4.0", "Beta\t6.0"]

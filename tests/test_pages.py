@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import EDGES, dump_text, page_record, rows
 from rankweave.functions import markup
 from rankweave.operators.pages import extract_links, extract_pages
+from rankweave.plans import table_inputs as inputs
 from rankweave.sources.readers import read_pages
 
 
@@ -111,3 +112,18 @@ def test_link_rules_on_random_text(spark):
     expected = sorted((str(n), target) for n, text in enumerate(texts) for target in links_of(text))
     assert len(expected) > 1000
     assert rows(extract_links(pages)) == expected
+
+
+def test_every_rule_drops_some_link(spark):
+    found = inputs.rule_pages(spark, "/root/testdata/sf0.001").select(
+        F.explode(markup.link_matches(F.col("text"))).alias("link")
+    )
+    links = [row["link"] for row in found.collect()]
+    kept = {row["link"] for row in found.where(markup.is_page_link(F.col("link"))).collect()}
+    dropped = [link for link in links if link not in kept]
+    for char in markup.BAD_CHARS:
+        assert any(char in link for link in dropped), char
+    for char in ("#", ",", ".", "&", "'", "-", "{"):
+        assert any(link.lstrip("[").startswith(char) for link in dropped), char
+    assert any(len(link) > 100 for link in dropped) and any(len(link) <= 100 < len(link.encode("utf-16-le")) / 2 for link in dropped)
+    assert "[[]" in dropped and any(link.startswith("[Doc") for link in kept)

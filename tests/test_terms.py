@@ -77,8 +77,9 @@ def test_frequent_term_is_split(spark):
     lists = posting_lists(spark.createDataFrame(data, "term string, doc string, tf bigint"), max_list=100)
     found = lists.collect()
     counts = Counter(row["term"] for row in found)
-    assert counts["the"] == 3 and counts["t1"] == 1
-    assert max(len(row["postings"]) for row in found) < 1500
+    assert counts["the"] == 30 and counts["t1"] == 1
+    assert {row["part"] for row in found if row["term"] == "the"} == set(range(30))
+    assert max(len(row["postings"]) for row in found) < 2 * 100
     assert sorted((row["term"], p["doc"], p["tf"]) for row in found for p in row["postings"]) == sorted(data)
 
 
@@ -88,9 +89,25 @@ def test_index_with_any_number_of_partitions(spark, dump, conf, partitions):
     assert rows(build_index(extract_pages(read_pages(spark, dump)))) == POSTINGS
 
 
+@pytest.mark.parametrize("partitions", [2, 32])
+def test_lists_do_not_depend_on_partitions(spark, conf, partitions):
+    data = [("the", f"d{n}", 1) for n in range(500)]
+    df = spark.createDataFrame(data, "term string, doc string, tf bigint")
+    conf(shuffle__partitions=1)
+    expected = rows(posting_lists(df, max_list=50))
+    conf(shuffle__partitions=partitions)
+    assert rows(posting_lists(df, max_list=50)) == expected
+
+
+def test_keywords_are_cut_like_the_text():
+    assert query_terms("That's Jean-Louis don't") == ["that", "s", "jean", "louis", "don", "t"]
+    assert query_terms(["that's", "The"]) == ["that", "s", "the"]
+
+
 def test_stored_index(spark, postings, tmp_path):
     path = str(tmp_path / "index")
-    write_index(postings, path)
+    write_index(postings, path, buckets=7)
+    assert {row["buckets"] for row in read_index(spark, path).collect()} == {7}
     assert rows(read_index(spark, path).select("term", "doc", "tf")) == POSTINGS
     with pytest.raises(Exception, match="already exists"):
         write_index(postings, path)
