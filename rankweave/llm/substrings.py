@@ -120,7 +120,8 @@ def dedup_substrings(documents: DataFrame, *, window: int = WINDOW, minimiser: i
 
     # Equal super-k-mers in a smaller document.
     copied = owners.where("owner < last").select("minimiser", "run", "owner")
-    whole = light.join(copied, ["minimiser", "run"]).where("doc > owner").select(
+    # A sort-merge join, which adaptive execution splits where one super-k-mer is everywhere.
+    whole = light.join(copied.hint("merge"), ["minimiser", "run"]).where("doc > owner").select(
         "row", "start", (F.col("n") + window - 1).alias("n")
     )
 
