@@ -9,6 +9,7 @@ from rankweave.llm.embeddings import link_embeddings
 from rankweave.llm.extraction import extract_text
 from rankweave.llm.jaccard import join_similar
 from rankweave.llm.mixing import mix_sources
+from rankweave.llm.oracles import ORACLES
 from rankweave.llm.packing import pack
 from rankweave.llm.quality import judge_quality
 from rankweave.llm.secrets import scan_secrets
@@ -56,7 +57,7 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return judge_quality(table(spark, folder, "documents"))
+    return judge_quality(table(spark, folder, "documents")).drop("class_divergence", "word_divergence")
 
 
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,25 +93,4 @@ QUERIES = {
     ]
 }
 
-# DuckDB reads the rest of a url in the same way; its longest rule is found by the order of the cases.
-URL_SQL = """
-WITH cut AS (
-    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
-            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
-    FROM pages
-),
-ruled AS (
-    SELECT *, CASE
-        WHEN ends_with('.' || host, '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
-        WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
-        WHEN ends_with('.' || host, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
-        WHEN ends_with('.' || host, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
-        WHEN ends_with('.' || host, '.com') AND starts_with(path, '/') THEN 'com/' END AS rule
-    FROM cut
-)
-SELECT page_id, host, path, rule,
-    CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled"""
-
-ORACLES: dict[str, str] = {"op9_url_filter": URL_SQL}
+__all__ = ["ORACLES", "QUERIES", "tokenizer_files"]
