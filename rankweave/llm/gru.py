@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 
 WORD = re.compile(r"\w+")
-GRAMS = (3, 5)
+GRAM = 4
 MIN_DOCUMENTS = 4  # words and n-grams of fewer training documents are unknown
 SIZE, HIDDEN, ATTENTION = 16, 8, 8
 LENGTH, STRIDE = 32, 24  # words in a window, and from one window to the next
@@ -26,7 +26,7 @@ def words_of(text: str) -> list[str]:
 def grams_of(word: str) -> list[str]:
     """Character n-grams with the word's ends marked."""
     marked = f"<{word}>"
-    return [marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
+    return [marked[i : i + GRAM] for i in range(max(1, len(marked) - GRAM + 1))]
 
 
 def vocabulary(documents: list[list[str]], labels: np.ndarray) -> tuple[dict[str, int], dict[str, int], np.ndarray, np.ndarray]:
@@ -84,7 +84,7 @@ class Inputs:
             if w not in self.number:
                 self.number[w] = n = len(self.word)
                 found = grams_of(w)
-                rows = [known[g] for g in found if g in known]
+                rows = [row for g in found if (row := known.get(g))]
                 self.word.append(self.words.get(w, 0))
                 self.gram += rows
                 self.owner += [n] * len(rows)
