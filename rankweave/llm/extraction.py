@@ -45,6 +45,7 @@ BOILERPLATE = [
 ]
 GENERATED_PAGES = 400
 TABLE_PAGES = 200
+MAX_TABLE_CHARS = 20_000
 STEPS = 150
 LEARNING_RATE = 0.1
 DECAY = 1e-3
@@ -235,14 +236,14 @@ def fit_extractor(pages: DataFrame, html: str = "html", generated: int = GENERAT
     rng = random.Random(11)
     known = [read_page(labelled_page(rng)) for _ in range(generated)]
     labels = [inherited_labels(page) for page in known]
-    chosen = (
-        pages.where(F.col(html).contains("<article") & (F.length(html) < 20_000))
-        .select(F.xxhash64(html).alias("h"), html)
-        .orderBy("h", html)
-        .limit(table_pages)
+    hashed = pages.where(F.col(html).contains("<article") & (F.length(html) < MAX_TABLE_CHARS)).select(
+        F.xxhash64(html).alias("h"), F.col(html).alias("html")
     )
-    for row in chosen.collect():
-        page = read_page(row[html])
+    # The hashes are drawn first, so that partitions send hashes and not pages.
+    last = hashed.select("h").distinct().orderBy("h").limit(table_pages).agg(F.max("h")).first()[0]
+    drawn = hashed.where(F.col("h") <= F.lit(last).cast("long")).groupBy("h").agg(F.min("html").alias("html"))
+    for row in drawn.orderBy("h").collect():
+        page = read_page(row["html"])
         found = article_labels(page)
         if found is not None:
             known.append(page)
