@@ -13,25 +13,37 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.llm.store import stored
+from rankweave.llm.words import split_words
+from rankweave.runtime import stored
 
 WINDOW = 2048
 END_ID = 1
 OPEN_WINDOWS = 16
 MAX_PADDING = 16  # a window with at most so many places left is emitted as it is
 MERGE_PARTITIONS = 128  # the leftovers of so many partitions are merged by one task
-CACHED_WORDS = 200_000
+BLOCK_CHARS = 2_000_000  # texts are encoded in blocks of about this size
 
-# A boundary of every pre-token: one blank between two characters that are not white space.
-WORD_START = re.compile(r"(?<=\S)(?= \S)")
+OTHER_SPACE = re.compile(r"[^\S ]")
 SPECIAL = "<|endoftext|>"
+ONLY_BLANK = np.zeros(256, dtype=bool)
+ONLY_BLANK[32] = True
+
+
+def blanks_part(text: str) -> bool:
+    """Whether every blank stands alone between two characters that are not white space, and none of that is at an end."""
+    if "  " in text or text[:1].isspace() or text[-1:].isspace():
+        return False
+    around = (text[m.start() - 1 : m.start() + 2 : 2] for m in OTHER_SPACE.finditer(text))
+    return not any(" " in two for two in around)
 
 
 class Tokens:
     """Ids of whole texts as the ``tokenizers`` file gives them.
 
-    Its merges never cross a blank that stands alone between words, so words are encoded once and remembered. The
-    rank file has the same vocabulary and is faster; a text with a special token in it goes through the other file.
+    Its merges never cross a blank that stands alone between words, so the distinct words of a block of texts are
+    encoded together, once, and told apart by the bytes of their ids. Texts with other white space around blanks are
+    encoded whole. The rank file has the same vocabulary and is faster; a text with a special token in it goes through
+    the other file.
     """
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str):
@@ -40,29 +52,60 @@ class Tokens:
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self._encode = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=merges, special_tokens={}).encode_ordinary
+        self._bytes = np.zeros(max(merges.values()) + 1, dtype=np.int64)
+        self._bytes[list(merges.values())] = [len(token) for token in merges]
         self._vocabulary = vocabulary
         self._whole = None
-        self._known: dict[str, list[int]] = {}
+
+    def block(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        parted = [i for i, text in enumerate(texts) if text and SPECIAL not in text and blanks_part(text)]
+        found = dict(zip(parted, self._by_words([texts[i] for i in parted])))
+        return [found[i] if i in found else self._one(text) for i, text in enumerate(texts)]
+
+    def _one(self, text: str) -> np.ndarray:
+        if SPECIAL not in text:
+            return np.array(self._encode(text), dtype="<u4")
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self._vocabulary)
+        return np.array(self._whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _by_words(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        words = split_words([text.encode() for text in texts], ONLY_BLANK)
+        _, example, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        starts, ends = words.starts[example], words.ends[example]
+        data = words.data.tobytes()
+        # The byte before a word is a blank.
+        joined = b"".join([data[a - 1 : b] for a, b in zip(starts.tolist(), ends.tolist())]).decode()
+        ids = np.array(self._encode(joined), dtype="<u4")
+        end = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum(ends - starts + 1)) + 1
+        begin = np.concatenate([[0], end[:-1]])
+        count = (end - begin)[number]
+        stop = np.cumsum(count)
+        placed = ids[np.arange(stop[-1]) + np.repeat(begin[number] - (stop - count), count)]
+        out = []
+        for text, a, b in zip(texts, words.first, words.first[1:]):
+            # The first word of a text has no blank before it.
+            head = np.array(self._encode(text[: text.find(" ")] if " " in text else text), dtype="<u4")
+            out.append(np.concatenate([head, placed[stop[a] : stop[b - 1]]]))
+        return out
 
     def __call__(self, text: str) -> np.ndarray:
-        if SPECIAL in text:
-            if self._whole is None:
-                from tokenizers import Tokenizer
-
-                self._whole = Tokenizer.from_file(self._vocabulary)
-            return np.array(self._whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        ids: list[int] = []
-        known = self._known
-        for word in WORD_START.split(text):
-            found = known.get(word)
-            if found is None:
-                found = self._encode(word)
-                if len(known) >= CACHED_WORDS:
-                    known.clear()
-                if len(word) < 64:
-                    known[word] = found
-            ids += found
-        return np.array(ids, dtype="<u4")
+        return self.block([text])[0]
+
+
+def text_groups(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of about ``BLOCK_CHARS`` together, with the place of the first."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= BLOCK_CHARS or i == len(texts) - 1:
+            yield begin, texts[begin : i + 1]
+            begin, size = i + 1, 0
 
 
 class Packer:
@@ -153,13 +196,15 @@ def pack(
         tokens, packer = Tokens(vocabulary, ranks, pattern), Packer(window, open_windows, max_padding)
         sequence = TaskContext.get().partitionId() << 32
         for batch in batches:
-            rows: list[tuple] = []
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("_text").to_pylist()):
-                ids = np.append(tokens(text or ""), np.array([end_id], dtype="<u4"))
-                for pieces in packer.add((key, len(ids)), ids):
-                    rows += _rows(sequence, pieces, False)
-                    sequence += 1
-            yield _batch(rows)
+            keys = batch.column("key").to_pylist()
+            for begin, texts in text_groups([text or "" for text in batch.column("_text").to_pylist()]):
+                rows: list[tuple] = []
+                for key, found in zip(keys[begin:], tokens.block(texts)):
+                    ids = np.append(found, np.array([end_id], dtype="<u4"))
+                    for pieces in packer.add((key, len(ids)), ids):
+                        rows += _rows(sequence, pieces, False)
+                        sequence += 1
+                yield _batch(rows)
         for _, pieces in packer.open:
             yield _batch(list(_rows(-1 - sequence, pieces, True)))  # below 0: not yet packed
             sequence += 1

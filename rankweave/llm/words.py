@@ -57,9 +57,10 @@ class Words:
         return b" ".join(self.data[self.starts[begin] : self.ends[end - 1]].tobytes().split()) if end > begin else b""
 
 
-def split_words(texts: list[bytes]) -> Words:
+def split_words(texts: list[bytes], spaces: np.ndarray = SPACES) -> Words:
+    """``spaces`` tells for each byte whether it separates words; a blank always does."""
     data = np.frombuffer(b" ".join([b"", *texts, b""]), dtype=np.uint8)
-    space = SPACES[data]
+    space = spaces[data]
     starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
     borders = np.cumsum([1] + [len(text) + 1 for text in texts])

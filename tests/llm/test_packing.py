@@ -26,8 +26,9 @@ def test_ids_equal_the_tokenizers_file(reference):
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
     texts += ["", " ", "a <|endoftext|> b", "<|endoftext|>", " <|endoftext|><|endoftext|> x", "word " * 300, "z" * 3000, "a" * 70 + " b"]
     tokens = Tokens(**FILES)
-    for text in texts:
-        assert tokens(text).tolist() == reference(text), repr(text)
+    texts += [" ".join(rng.choice(["the", "rivers,", "don't", "é\nß", "\u3000x", "1²", "中"]) for _ in range(rng.randint(1, 30))) for _ in range(300)]
+    for text, ids in zip(texts, tokens.block(texts), strict=True):
+        assert ids.tolist() == reference(text) == tokens(text).tolist(), repr(text)
 
 
 def check(found, rows, reference, window):
