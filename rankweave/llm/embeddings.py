@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rankweave.llm.components import connected_components
 from rankweave.llm.groups import explode_cells, local_roots, sorted_groups
-from rankweave.llm.store import stored
+from rankweave.runtime import stored
 
 THRESHOLD = 0.9
 SAMPLE = 20_000  # vectors that the quantiser is fitted on, at most
@@ -87,8 +87,10 @@ def fit_quantiser(unit: np.ndarray, lists: int) -> Quantiser:
     return Quantiser(coarse, fine, cuts)
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=np.float64).reshape(-1, width)
+def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
+    """Lists of one length, without nulls, as the rows of a matrix."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return whole.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
 CODED = "cls long, copies long, vector array<double>, lists array<int>, codes binary, error double"
@@ -133,15 +135,15 @@ def linked_in_list(q: Quantiser, place: int, queries: np.ndarray, entries: np.nd
     return x[exact], y[exact]
 
 
-def _comparer(quantiser, threshold: float):
+def _comparer(quantiser, threshold: float, probes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = Quantiser(*quantiser.value)
         width = q.coarse.shape[1]
         for (place, i, j), table in sorted_groups(batches, ["list", "cell_i", "cell_j"]):
             rows, copies, block = (table.column(c).to_numpy() for c in ("cls", "copies", "block"))
-            unit = _matrix(table.column("vector").combine_chunks(), width)
-            lists = np.array(table.column("lists").to_pylist(), dtype=np.int64)
-            codes = np.stack([np.frombuffer(c, dtype=np.uint8) for c in table.column("codes").to_pylist()])
+            unit = _matrix(table.column("vector"), width)
+            codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), dtype=np.uint8).reshape(len(unit), -1)
+            lists = _matrix(table.column("lists"), min(probes, len(q.coarse)))
             error = table.column("error").to_numpy()
             home = lists[:, 0]
             entry = np.flatnonzero(home == place)
@@ -224,7 +226,7 @@ def link_embeddings(
     drawn = same.where(F.pmod(F.xxhash64("cls"), F.lit(1_000_000)) < int(1_000_000 * share) + (share == 1.0))
     sample = drawn.orderBy("cls").limit(SAMPLE).select("vector").toArrow()
     fitted = fit_quantiser(
-        _matrix(sample.column("vector").combine_chunks(), common["width"]), min(MAX_LISTS, -(-common["n"] // list_size))
+        _matrix(sample.column("vector"), common["width"]), min(MAX_LISTS, -(-common["n"] // list_size))
     )
     quantiser = spark.sparkContext.broadcast((fitted.coarse, fitted.fine, fitted.cuts))
     coded = stored(same.select("cls", "copies", "vector").mapInArrow(_coder(quantiser, probes), CODED), "coded")
@@ -233,7 +235,7 @@ def link_embeddings(
     cells = explode_cells(probing.join(sizes, "list"), F.col("members"), F.col("cls"), block)
     cell = ["list", "cell_i", "cell_j"]
     dealt = cells.repartition(*cell).sortWithinPartitions(*cell)
-    links = stored(dealt.mapInArrow(_comparer(quantiser, threshold), LINKS), "links")
+    links = stored(dealt.mapInArrow(_comparer(quantiser, threshold, probes), LINKS), "links")
 
     roots = connected_components(links.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")))
     counts = stored(links.groupBy("row").agg(F.sum("links").alias("links")), "counts")
