@@ -18,28 +18,54 @@ THRESHOLD = 0.9
 SAMPLE = 20_000  # vectors that the quantiser is fitted on, at most
 LIST_SIZE = 200  # vectors per inverted list aimed at
 MAX_LISTS = 8192
-PROBES = 12
+PROBES = 12  # lists that a vector in a sparse part asks; in dense parts a bound decides
 SUBSPACES = 8
 CODES = 64  # centroids per subspace
 ROUNDS = 4
 BLOCK = 512
 
 
+def link_distance(threshold: float) -> float:
+    """The largest distance of two unit vectors with a cosine of at least ``threshold``."""
+    return float(np.sqrt(2 - 2 * threshold))
+
+
 @dataclass
 class Quantiser:
-    """Coarse centroids (lists x dimensions) and residual centroids (subspaces x codes x dimensions of a subspace)."""
+    """Coarse centroids (centroids x dimensions) and residual centroids (subspaces x codes x dimensions of a subspace).
+
+    ``merged`` has the list of each coarse centroid: the centroid that leads it, itself unless merged.
+    """
 
     coarse: np.ndarray
     fine: np.ndarray
     cuts: np.ndarray
-
-    def nearest_lists(self, unit: np.ndarray, probes: int) -> np.ndarray:
-        """The nearest lists of each row, the nearest first."""
-        far = self._distances(unit, self.coarse)
-        probes = min(probes, far.shape[1])
+    merged: np.ndarray | None = None
+
+    def probed_lists(self, unit: np.ndarray, probes: int, threshold: float) -> list[np.ndarray]:
+        """The lists that each row asks, its own first.
+
+        These are the ``probes`` nearest and, for a row within the link distance r of its centroid, all with a centroid
+        within r more than that. Of two linked rows, let y be no nearer to its centroid than x to its own, c. Then
+        |y - c| <= |y - x| + |x - c| is at most r more than y's distance to its own centroid, so y asks the list of x.
+        """
+        merged = np.arange(len(self.coarse)) if self.merged is None else self.merged
+        order = np.argsort(merged, kind="stable")
+        leaders, starts = np.unique(merged[order], return_index=True)
+        squares = np.maximum(self._distances(unit, self.coarse), 0)
+        far = np.sqrt(np.minimum.reduceat(squares[:, order], starts, axis=1))
+        probes = min(probes, len(leaders))
         near = np.argpartition(far, probes - 1, axis=1)[:, :probes]
-        order = np.argsort(np.take_along_axis(far, near, axis=1), axis=1, kind="stable")
-        return np.take_along_axis(near, order, axis=1)
+        asked = np.zeros(far.shape, dtype=bool)
+        np.put_along_axis(asked, near, True, axis=1)
+        home, link = far.argmin(1), link_distance(threshold)
+        closest = far.min(1)
+        asked |= (closest <= link)[:, None] & (far <= closest[:, None] + link + 1e-6)
+        found = []
+        for row, own in zip(asked, home):
+            row[own] = False
+            found.append(leaders[np.concatenate([[own], np.flatnonzero(row)])])
+        return found
 
     @staticmethod
     def _distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -74,17 +100,37 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.RandomState) -> np.ndarray:
     return centroids
 
 
-def fit_quantiser(unit: np.ndarray, lists: int) -> Quantiser:
+def merge_lists(unit: np.ndarray, coarse: np.ndarray, home: np.ndarray, link: float) -> np.ndarray:
+    """The leader of each centroid: itself, or in a dense part a centroid of more vectors within the distance ``link``.
+
+    A dense group of vectors has centroids in proportion to its size, and each vector has links in the lists of all. A
+    list is dense if its vectors are on average (root mean square) within ``link`` of its centroid. Nothing is merged
+    in turn with what was merged, so a list does not spread along a chain of centroids.
+    """
+    count = np.bincount(home, minlength=len(coarse))
+    spread = np.bincount(home, weights=((unit - coarse[home]) ** 2).sum(1), minlength=len(coarse))
+    dense = (count > 0) & (spread <= link**2 * count)
+    merged, free = np.arange(len(coarse)), dense.copy()
+    for leader in np.argsort(-count, kind="stable"):
+        if free[leader]:
+            near = free & (((coarse - coarse[leader]) ** 2).sum(1) <= link**2)
+            merged[near], free[near] = leader, False
+    return merged
+
+
+def fit_quantiser(unit: np.ndarray, lists: int, threshold: float = THRESHOLD) -> Quantiser:
     rng = np.random.RandomState(5)
     coarse = _kmeans(unit, max(1, min(lists, len(unit))), rng)
-    residual = unit - coarse[Quantiser._distances(unit, coarse).argmin(1)]
+    home = Quantiser._distances(unit, coarse).argmin(1)
+    merged = merge_lists(unit, coarse, home, link_distance(threshold))
+    residual = unit - coarse[merged[home]]
     cuts = np.linspace(0, unit.shape[1], min(SUBSPACES, unit.shape[1]) + 1).astype(int)
     widest = int(np.diff(cuts).max())
     fine = np.full((len(cuts) - 1, CODES, widest), 0.0)
     for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
         found = _kmeans(residual[:, a:b], CODES, rng)
         fine[s, : len(found), : b - a] = found
-    return Quantiser(coarse, fine, cuts)
+    return Quantiser(coarse, fine, cuts, merged)
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
@@ -93,23 +139,32 @@ def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return whole.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def _padded(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of whole numbers as the rows of a matrix, filled with -1."""
+    whole = column.combine_chunks()
+    sizes = whole.value_lengths().to_numpy(zero_copy_only=False)
+    matrix = np.full((len(sizes), int(sizes.max(initial=1))), -1, dtype=np.int64)
+    matrix[np.arange(matrix.shape[1])[None, :] < sizes[:, None]] = whole.flatten().to_numpy()
+    return matrix
+
+
 CODED = "cls long, copies long, vector array<double>, lists array<int>, codes binary, error double"
 LINKS = "row long, links long, root long"
 
 
-def _coder(quantiser, probes: int):
+def _coder(quantiser, probes: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = Quantiser(*quantiser.value)
         for batch in batches:
             unit = _matrix(batch.column("vector"), q.coarse.shape[1])
-            lists = q.nearest_lists(unit, probes) if len(unit) else np.zeros((0, 1), dtype=np.int64)
-            codes, error = q.encode(unit - q.coarse[lists[:, 0]])
+            lists = q.probed_lists(unit, probes, threshold) if len(unit) else []
+            codes, error = q.encode(unit - q.coarse[np.array([asked[0] for asked in lists], dtype=np.int64)])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("cls"),
                     batch.column("copies"),
                     batch.column("vector"),
-                    pa.array(lists.astype(np.int32).tolist(), pa.list_(pa.int32())),
+                    pa.array([asked.astype(np.int32) for asked in lists], pa.list_(pa.int32())),
                     pa.array([c.tobytes() for c in codes], pa.binary()),
                     pa.array(error, pa.float64()),
                 ],
@@ -129,13 +184,13 @@ def linked_in_list(q: Quantiser, place: int, queries: np.ndarray, entries: np.nd
     near = np.zeros((len(queries), len(entries)))
     for s in range(tables.shape[1]):
         near += tables[:, s, :][:, codes[:, s]]
-    limit = np.sqrt(2 - 2 * threshold) + error[None, :] + 1e-6
+    limit = link_distance(threshold) + error[None, :] + 1e-6
     x, y = np.nonzero(near <= limit**2)
     exact = np.einsum("ij,ij->i", queries[x], entries[y]) >= threshold if len(x) else np.zeros(0, dtype=bool)
     return x[exact], y[exact]
 
 
-def _comparer(quantiser, threshold: float, probes: int):
+def _comparer(quantiser, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = Quantiser(*quantiser.value)
         width = q.coarse.shape[1]
@@ -143,7 +198,7 @@ def _comparer(quantiser, threshold: float, probes: int):
             rows, copies, block = (table.column(c).to_numpy() for c in ("cls", "copies", "block"))
             unit = _matrix(table.column("vector"), width)
             codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), dtype=np.uint8).reshape(len(unit), -1)
-            lists = _matrix(table.column("lists"), min(probes, len(q.coarse)))
+            lists = _padded(table.column("lists"))
             error = table.column("error").to_numpy()
             home = lists[:, 0]
             entry = np.flatnonzero(home == place)
@@ -195,8 +250,12 @@ def link_embeddings(
 
     Equal vectors are one class. The quantiser is fitted on at most ``SAMPLE`` classes, chosen by a hash; it has a list
     for every ``list_size`` vectors, up to ``MAX_LISTS``, so its size is bounded and it is broadcast. Every class is
-    coded in its nearest list and asks the ``probes`` nearest ones. Lists are compared in cells of two blocks, which
-    return the number of links of each row and the smallest row that it is joined to, never pairs.
+    coded in its nearest list and asks the ``probes`` nearest ones; in dense parts near lists are merged and a class asks
+    all that its links can be in (``Quantiser.probed_lists``). Lists are compared in cells of two blocks, which return
+    the number of links of each row and the smallest row that it is joined to, never pairs.
+
+    A link is found for certain if both vectors are within the link distance of their centroids. Where one is not, it
+    is in a sparse part, and its links are found in the lists that the two ask: nearly all, but without a guarantee.
     """
     spark = embeddings.sparkSession
     values = F.transform(F.col(vector), lambda v: v.cast("double"))
@@ -226,16 +285,16 @@ def link_embeddings(
     drawn = same.where(F.pmod(F.xxhash64("cls"), F.lit(1_000_000)) < int(1_000_000 * share) + (share == 1.0))
     sample = drawn.orderBy("cls").limit(SAMPLE).select("vector").toArrow()
     fitted = fit_quantiser(
-        _matrix(sample.column("vector"), common["width"]), min(MAX_LISTS, -(-common["n"] // list_size))
+        _matrix(sample.column("vector"), common["width"]), min(MAX_LISTS, -(-common["n"] // list_size)), threshold
     )
-    quantiser = spark.sparkContext.broadcast((fitted.coarse, fitted.fine, fitted.cuts))
-    coded = stored(same.select("cls", "copies", "vector").mapInArrow(_coder(quantiser, probes), CODED), "coded")
+    quantiser = spark.sparkContext.broadcast((fitted.coarse, fitted.fine, fitted.cuts, fitted.merged))
+    coded = stored(same.select("cls", "copies", "vector").mapInArrow(_coder(quantiser, probes, threshold), CODED), "coded")
     probing = coded.withColumn("list", F.explode("lists"))
     sizes = stored(probing.groupBy("list").agg(F.count(F.lit(1)).alias("members")), "lists")
     cells = explode_cells(probing.join(sizes, "list"), F.col("members"), F.col("cls"), block)
     cell = ["list", "cell_i", "cell_j"]
     dealt = cells.repartition(*cell).sortWithinPartitions(*cell)
-    links = stored(dealt.mapInArrow(_comparer(quantiser, threshold, probes), LINKS), "links")
+    links = stored(dealt.mapInArrow(_comparer(quantiser, threshold), LINKS), "links")
 
     roots = connected_components(links.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")))
     counts = stored(links.groupBy("row").agg(F.sum("links").alias("links")), "counts")

@@ -64,3 +64,17 @@ def test_empty_tables(spark):
     assert [tuple(r) for r in link_embeddings(spark.createDataFrame([(4, None)], schema)).collect()] == [(4, 0, 4, True)]
     two = spark.createDataFrame([(4, [1.0, 0.0]), (4, [1.0, 0.0]), (None, [2.0, 0.0])], schema)
     assert sorted(map(str, ((r["vec_id"], r["n_links"], r["component_id"]) for r in link_embeddings(two).collect()))) == ["(4, 2, 4)", "(4, 2, 4)", "(None, 2, 4)"]
+
+
+def test_a_dense_group_of_different_vectors_keeps_its_links(spark):
+    rng = np.random.RandomState(4)
+    centre = rng.standard_normal(32)
+    centre /= np.linalg.norm(centre)
+    dense = centre + rng.choice([0.2, 0.3, 0.4], (600, 1)) * rng.standard_normal((600, 32)) / np.sqrt(32)
+    # Each vector may ask 12 lists, and the group alone is cut into more than 50.
+    rows = [(i, v.tolist()) for i, v in enumerate([*dense, *rng.standard_normal((600, 32))])]
+    found = {r["vec_id"]: r for r in link_embeddings(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), list_size=10).collect()}
+    degree, component = by_hand(rows)
+    assert degree[:600].sum() > 100_000
+    assert [found[i]["n_links"] for i in range(600)] == degree[:600].tolist()
+    assert [found[i]["component_id"] for i in range(600)] == component[:600].tolist()
