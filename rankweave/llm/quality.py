@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankweave.runtime import stored
@@ -30,6 +30,9 @@ MIN_CLASS_CHARS = 200
 MIN_HISTOGRAM_WORDS = 100
 MAX_CLASS_DIVERGENCE = 0.12
 MAX_WORD_DIVERGENCE = 0.30
+# The reference that decides: medians in steps of 1 / STEPS over at least MIN_REFERENCE_TEXTS different texts.
+STEPS = 10_000
+MIN_REFERENCE_TEXTS = 10
 
 
 def _language(lang: Column) -> Column:
@@ -49,6 +52,7 @@ def document_features(documents: DataFrame, keep: list[str]) -> DataFrame:
     Three-word windows are compared by 64-bit hashes.
     """
     text = F.coalesce("text", F.lit(""))
+    digest = F.xxhash64(text)
     blanked = text
     for blank in BLANKS:
         blanked = F.replace(blanked, F.lit(blank), F.lit(" "))
@@ -57,12 +61,16 @@ def document_features(documents: DataFrame, keep: list[str]) -> DataFrame:
     base = documents.select(
         *keep,
         _language(F.col("lang")).alias("_lang"),
+        _language(F.col("lang")).alias("_own_lang"),
+        digest.alias("_text"),
         F.filter(F.split(text, "\n"), lambda line: F.rtrim(F.translate(line, BLANKS, " " * 5)) != "").alias("_lines"),
         F.concat(F.lit(" "), blanked, F.lit(" ")).alias("_blanked"),
     )
     padded = base.select(
         *keep,
         "_lang",
+        "_own_lang",
+        "_text",
         "_blanked",
         F.array_remove(F.split("_blanked", " "), "").alias("_words"),
         F.replace("_blanked", F.lit(" "), F.lit("")).alias("_solid"),
@@ -84,6 +92,8 @@ def document_features(documents: DataFrame, keep: list[str]) -> DataFrame:
     counted = padded.select(
         *keep,
         "_lang",
+        "_own_lang",
+        "_text",
         F.size(words).cast("long").alias("n_words"),
         F.length("_solid").cast("long").alias("word_chars"),
         "n_dup_lines",
@@ -102,6 +112,8 @@ def document_features(documents: DataFrame, keep: list[str]) -> DataFrame:
     sized = counted.select(
         *keep,
         "_lang",
+        "_own_lang",
+        "_text",
         "n_words",
         "word_chars",
         "n_dup_lines",
@@ -134,6 +146,8 @@ def document_features(documents: DataFrame, keep: list[str]) -> DataFrame:
     return sized.select(
         *keep,
         "_lang",
+        "_own_lang",
+        "_text",
         "_classes",
         F.concat("_found", F.array(F.greatest(F.col("n_words") - common, F.lit(0).cast("long")))).alias("_common"),
         "n_words",
@@ -155,23 +169,69 @@ def language_references(features: DataFrame) -> DataFrame:
     )
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
+
+
+def robust_references(features: DataFrame) -> DataFrame:
+    """The typical character classes and common words of each ``lang``: medians of the shares in its texts.
+
+    Only rows that pass the base rules and whose histogram is long enough to be judged count, each different text once,
+    so neither a long text nor many copies of one move a median. A median is found exactly, in steps of 1 / ``STEPS``,
+    from counts per step, which are combined in each task; the shuffled rows are bounded by languages, bins and steps. A
+    null language, and one of fewer than ``MIN_REFERENCE_TEXTS`` such texts, has no reference.
+    """
+    texts = features.where(~_base_failed() & F.col("_own_lang").isNotNull()).groupBy("_own_lang", "_text").agg(
+        F.first("_classes").alias("_classes"),
+        F.first("_common").alias("_common"),
+        F.first("word_chars").alias("_chars"),
+        F.first("n_words").alias("_n"),
+    )
+
+    def steps(counts: Column) -> Column:
+        return F.transform(counts, lambda c: F.round(STEPS * F.try_divide(c, _total(counts))).cast("int"))
+
+    def bins(kind: str, counts: str, judged: Column) -> Column:
+        listed = F.transform(steps(F.col(counts)), lambda step, i: F.struct(F.lit(kind).alias("kind"), i.alias("bin"), step.alias("step")))
+        return F.when(judged, listed).otherwise(F.slice(listed, 1, 0))
+
+    both = F.concat(
+        bins("class", "_classes", F.col("_chars") >= MIN_CLASS_CHARS),
+        bins("word", "_common", F.col("_n") >= MIN_HISTOGRAM_WORDS),
+    )
+    key = ["_own_lang", "kind", "bin"]
+    counted = texts.select("_own_lang", F.inline(both)).groupBy(*key, "step").agg(F.count(F.lit(1)).alias("n"))
+    below = F.sum("n").over(Window.partitionBy(*key).orderBy("step"))
+    ranked = counted.withColumn("below", below).withColumn("all", F.sum("n").over(Window.partitionBy(*key)))
+    medians = ranked.where((F.col("all") >= MIN_REFERENCE_TEXTS) & (2 * F.col("below") >= F.col("all"))).groupBy(*key).agg(
+        F.min("step").cast("long").alias("step")
+    )
+
+    def listed(kind: str) -> Column:
+        found = F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("bin", "step"))))
+        return F.transform(found, lambda b: b["step"])
+
+    return medians.groupBy("_own_lang").agg(listed("class").alias("_typical_classes"), listed("word").alias("_typical_common"))
+
+
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b)
+
+
 def jensen_shannon(left: Column, right: Column) -> Column:
     """Divergence in bits, 0 to 1, of two histograms of counts; null if one is empty."""
 
-    def total(counts: Column) -> Column:
-        return F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b)
-
     def part(p: Column, q: Column) -> Column:
         return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
 
     shares = F.zip_with(
         left,
         right,
-        lambda a, b: F.struct(F.try_divide(a, total(left)).alias("p"), F.try_divide(b, total(right)).alias("q")),
+        lambda a, b: F.struct(F.try_divide(a, _total(left)).alias("p"), F.try_divide(b, _total(right)).alias("q")),
     )
     terms = F.transform(shares, lambda s: part(s["p"], s["q"]) + part(s["q"], s["p"]))
     divergence = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b) / 2
-    return F.when((total(left) > 0) & (total(right) > 0), divergence)
+    return F.when((_total(left) > 0) & (_total(right) > 0), divergence)
 
 
 def judge_quality(
@@ -180,23 +240,29 @@ def judge_quality(
     keep: list[str] | None = None,
     max_class_divergence: float = MAX_CLASS_DIVERGENCE,
     max_word_divergence: float = MAX_WORD_DIVERGENCE,
+    typical: bool = True,
 ) -> DataFrame:
-    """Counts, ``base_failed``, the two divergences and ``kept`` for each row of ``documents``.
+    """Counts, ``base_failed``, two divergences, two distances and ``kept`` for each row of ``documents``.
 
     ``base_failed``: under ``MIN_WORDS`` words, or over ``MAX_REPEATED_PERCENT`` percent of the words in three-word
     windows found twice. Other rows are rejected if the histogram of character classes, or that of the frequent
-    words of their language, is further from the same histogram of all documents in that language than allowed.
-    Histograms of fewer than ``MIN_CLASS_CHARS`` characters or ``MIN_HISTOGRAM_WORDS`` words are not judged.
+    words of their language, is further from what is typical of the language (``robust_references``) than allowed:
+    ``class_distance`` and ``word_distance``, null where there is no reference. ``class_divergence`` and
+    ``word_divergence`` are from the sum of all documents of the language, which copies, long texts and junk can shift;
+    unless ``typical``, they decide, as in the SQL of ``op6_quality``. Histograms of fewer than ``MIN_CLASS_CHARS`` characters or ``MIN_HISTOGRAM_WORDS`` words are not judged.
 
     Languages without a list, null among them, share one reference and are judged by character classes only. A null
     text counts as empty and fails. Repeated rows are judged alike and stay. An empty table gives an empty result.
     ``keep`` (``doc_id`` unless given) names the columns to carry along.
 
-    The features are stored once. The references have a row for each listed language and one for the rest.
+    The features are stored once. The sums have a row for each listed language and one for the rest, the references at
+    most one for every ``MIN_REFERENCE_TEXTS`` texts and in practice one a language; both are broadcast.
     """
     keep = keep or ["doc_id"]
     features = stored(document_features(documents, keep), "quality")
-    joined = features.join(F.broadcast(language_references(features)), "_lang")
+    joined = features.join(F.broadcast(language_references(features)), "_lang").join(
+        F.broadcast(robust_references(features)), "_own_lang", "left"
+    )
     judged = joined.select(
         *keep,
         "n_words",
@@ -207,15 +273,18 @@ def judge_quality(
         "_lang",
         jensen_shannon(F.col("_classes"), F.col("_ref_classes")).alias("class_divergence"),
         jensen_shannon(F.col("_common"), F.col("_ref_common")).alias("word_divergence"),
+        jensen_shannon(F.col("_classes"), F.col("_typical_classes")).alias("class_distance"),
+        jensen_shannon(F.col("_common"), F.col("_typical_common")).alias("word_distance"),
     )
-    base_failed = (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
-    )
-    far_classes = (F.col("word_chars") >= MIN_CLASS_CHARS) & (F.col("class_divergence") > max_class_divergence)
+    base_failed = _base_failed()
+    robust = F.lit(typical)
+    class_gap = F.when(robust, F.col("class_distance")).otherwise(F.col("class_divergence"))
+    word_gap = F.when(robust, F.col("word_distance")).otherwise(F.col("word_divergence"))
+    far_classes = (F.col("word_chars") >= MIN_CLASS_CHARS) & (class_gap > max_class_divergence)
     far_words = (
         (F.col("n_words") >= MIN_HISTOGRAM_WORDS)
         & (F.col("_lang") != OTHER)
-        & (F.col("word_divergence") > max_word_divergence)
+        & (word_gap > max_word_divergence)
     )
     rejected = base_failed | F.coalesce(far_classes, F.lit(False)) | F.coalesce(far_words, F.lit(False))
     return judged.select(
@@ -229,4 +298,6 @@ def judge_quality(
         (~rejected).alias("kept"),
         "class_divergence",
         "word_divergence",
+        "class_distance",
+        "word_distance",
     )

@@ -85,3 +85,21 @@ def test_constants_and_empty(documents):
 def test_no_python_in_the_plan(documents):
     plan = judge_quality(documents([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def prose(i, alphabet=LETTERS, words=120):
+    rng = random.Random(i)
+    return " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(2, 9))) for _ in range(words))
+
+
+def test_copies_and_long_texts_do_not_set_the_reference(documents):
+    table = " ".join(f"{7919 * i}.{i}" for i in range(400))
+    long = " ".join(f"{104729 * i}" for i in range(20_000))
+    rows = [(i, prose(i)) for i in range(40)] + [(100 + i, table) for i in range(60)] + [(200, long)]
+    rows += [(300 + i, f"{i}% " * 300) for i in range(60)]  # fail the base rules
+    got = {r["doc_id"]: r["kept"] for r in judge_quality(documents(rows), max_word_divergence=1.0).collect()}
+    assert all(got[i] for i in range(40))
+    assert not any(kept for i, kept in got.items() if i >= 100)
