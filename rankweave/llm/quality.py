@@ -61,7 +61,7 @@ def document_features(documents: DataFrame, keep: list[str]) -> DataFrame:
     base = documents.select(
         *keep,
         _language(F.col("lang")).alias("_lang"),
-        _language(F.col("lang")).alias("_own_lang"),
+        F.col("lang").cast("string").alias("_own_lang"),
         digest.alias("_text"),
         F.filter(F.split(text, "\n"), lambda line: F.rtrim(F.translate(line, BLANKS, " " * 5)) != "").alias("_lines"),
         F.concat(F.lit(" "), blanked, F.lit(" ")).alias("_blanked"),
@@ -249,10 +249,10 @@ def judge_quality(
     words of their language, is further from what is typical of the language (``robust_references``) than allowed:
     ``class_distance`` and ``word_distance``, null where there is no reference. ``class_divergence`` and
     ``word_divergence`` are from the sum of all documents of the language, which copies, long texts and junk can shift;
-    unless ``typical``, they decide, as in the SQL of ``op6_quality``. Histograms of fewer than ``MIN_CLASS_CHARS`` characters or ``MIN_HISTOGRAM_WORDS`` words are not judged.
+    unless ``typical``, they decide for the languages with a list, as in the SQL of ``op6_quality``. Histograms of fewer than ``MIN_CLASS_CHARS`` characters or ``MIN_HISTOGRAM_WORDS`` words are not judged.
 
-    Languages without a list, null among them, share one reference and are judged by character classes only. A null
-    text counts as empty and fails. Repeated rows are judged alike and stay. An empty table gives an empty result.
+    Languages without a list are judged by character classes only, each by its own; null and those of few texts are
+    not judged by histograms, and the sum takes all of them together. A null text counts as empty and fails. Repeated rows are judged alike and stay. An empty table gives an empty result.
     ``keep`` (``doc_id`` unless given) names the columns to carry along.
 
     The features are stored once. The sums have a row for each listed language and one for the rest, the references at
@@ -277,7 +277,7 @@ def judge_quality(
         jensen_shannon(F.col("_common"), F.col("_typical_common")).alias("word_distance"),
     )
     base_failed = _base_failed()
-    robust = F.lit(typical)
+    robust = F.lit(typical) | (F.col("_lang") == OTHER)
     class_gap = F.when(robust, F.col("class_distance")).otherwise(F.col("class_divergence"))
     word_gap = F.when(robust, F.col("word_distance")).otherwise(F.col("word_divergence"))
     far_classes = (F.col("word_chars") >= MIN_CLASS_CHARS) & (class_gap > max_class_divergence)

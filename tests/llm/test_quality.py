@@ -103,3 +103,13 @@ def test_copies_and_long_texts_do_not_set_the_reference(documents):
     got = {r["doc_id"]: r["kept"] for r in judge_quality(documents(rows), max_word_divergence=1.0).collect()}
     assert all(got[i] for i in range(40))
     assert not any(kept for i, kept in got.items() if i >= 100)
+
+
+def test_each_language_has_its_own_reference(documents):
+    signs = "".join(map(chr, range(0x4E00, 0x4E40)))
+    odd = " ".join(f"#{i}%{i}" for i in range(200))
+    rows = [(i, prose(i), "it") for i in range(15)] + [(100 + i, prose(i, signs, 150), "zh") for i in range(15)]
+    rows += [(200, odd, "it"), (201, odd, "fi"), (202, odd, None), (203, prose(50, "xyz"), None)]
+    got = {r["doc_id"]: r["kept"] for r in judge_quality(documents(rows)).collect()}
+    # One text is too few for a reference of its own, and so is no language.
+    assert {i for i, kept in got.items() if not kept} == {200}
