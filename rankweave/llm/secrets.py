@@ -23,12 +23,13 @@ ASSIGN_VALUE = 6
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 BASE_KINDS = ("assign", "access", "hex")
-# What the method adds: long tokens that look random. They count only if few owners have them.
+# What the method adds: long tokens that look random. They count only if few owners and few repositories have them.
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 OWNED = "owned"
 KINDS = (*BASE_KINDS, OWNED)
 MIN_ENTROPY = 3.0
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 10
 
 
 def looks_random(token: str) -> bool:
@@ -53,6 +54,7 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
 
 
 CANDIDATE = "struct<start:int,kind:int,end:int,hash:string>"
+COUNTED = "struct<start:int,kind:int,end:int,live:boolean,n_owners:bigint,n_repositories:bigint>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,10 +84,10 @@ def ownership(found: DataFrame) -> DataFrame:
     return distinct("repository", "n_repositories").join(distinct("owner", "n_owners"), "hash")
 
 
-def _spans(found: Column) -> Column:
+def _spans(found: Column, *more: str) -> Column:
     names = F.array(*map(F.lit, KINDS))
     parts = F.transform(
-        F.sort_array(found), lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))
+        F.sort_array(found), lambda s: F.concat_ws(":", names[s["kind"]], *[s[c].cast("string") for c in ("start", "end", *more)])
     )
     return F.array_join(parts, ",")
 
@@ -98,13 +100,16 @@ def scan_secrets(
     repository: str = "doc_id",
     owner: str = "source",
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """The columns ``keep`` (``doc_id`` unless given) with the secrets of each row's whole text.
 
     ``n_assign``, ``n_access``, ``n_hex`` and ``base_sha256`` are about the base kinds, which always stay. ``spans``
-    also has the kind ``owned``: random-looking tokens outside base spans with at most ``max_owners`` owners in all of
-    ``documents``. A token of more owners is an example that was copied. ``n_live`` and ``n_copied`` divide all
-    candidates in the same way. Spans are in code points, by start, then kind, and end before ``end``.
+    also has the kind ``owned``: random-looking tokens outside base spans with at most ``max_owners`` owners and at most
+    ``max_repositories`` repositories in all of ``documents``. A token of more is an example that was copied, also if one
+    owner copied it. ``n_live`` and ``n_copied`` divide all candidates in the same way. Spans are in code points, by
+    start, then kind, and end before ``end``. ``frequencies`` has all candidates, those copied too, in the same order
+    and form, each followed by its numbers of owners and repositories.
 
     A null text counts as empty and has no spans. Repeated rows are scanned alike and stay; repositories and owners are
     counted once however often they repeat, null among them. An empty table gives an empty result.
@@ -122,14 +127,15 @@ def scan_secrets(
     scanned = stored(chosen.mapInArrow(_scan, schema).withColumn("_row", F.monotonically_increasing_id()), "secrets")
     found = scanned.select("_row", F.col("_repository").alias("repository"), F.col("_owner").alias("owner"), F.explode("_candidates").alias("c"))
     counts = stored(ownership(found.select(F.col("c.hash").alias("hash"), "repository", "owner")), "ownership")
+    live = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)
     owned = (
         found.select("_row", "c", F.col("c.hash").alias("hash"))
         .join(counts, "hash")
-        .select("_row", F.struct("c.start", "c.kind", "c.end", (F.col("n_owners") <= max_owners).alias("live")).alias("c"))
+        .select("_row", F.struct("c.start", "c.kind", "c.end", live.alias("live"), "n_owners", "n_repositories").alias("c"))
         .groupBy("_row")
         .agg(F.collect_list("c").alias("_found"))
     )
-    found_all = F.coalesce("_found", F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean>>"))
+    found_all = F.coalesce("_found", F.array().cast(f"array<{COUNTED}>"))
     # Rows without a candidate need no join.
     matched = scanned.where(F.size("_candidates") > 0).join(owned, "_row")
     unmatched = scanned.where(F.size("_candidates") == 0)
@@ -149,6 +155,7 @@ def scan_secrets(
         _spans(spans).alias("spans"),
         count(lambda c: c["live"]).alias("n_live"),
         count(lambda c: ~c["live"]).alias("n_copied"),
+        _spans(F.col("_all"), "n_owners", "n_repositories").alias("frequencies"),
     )
 
 

@@ -64,3 +64,13 @@ def test_redaction(spark):
     assert redact("0123456789", "assign:1:5,hex:3:7,owned:8:9") == "0[secret]7[secret]9"
     df = spark.createDataFrame([("abcdef", "hex:1:3"), ("abc", ""), (None, "")], "text string, spans string")
     assert [r[0] for r in df.select(redacted(df["text"], df["spans"])).collect()] == ["a[secret]def", "abc", None]
+
+
+def test_a_token_in_many_repositories_of_one_owner_is_copied(documents):
+    rows = [(i, f"see {TOKENS[0]} there", "en", "s1") for i in range(40)] + [(50 + i, f"see {TOKENS[1]} there", "en", "s1") for i in range(3)]
+    found = {r["doc_id"]: r for r in scan_secrets(documents(rows)).collect()}
+    for i in range(40):
+        assert (found[i]["spans"], found[i]["n_live"], found[i]["n_copied"], found[i]["frequencies"]) == ("", 0, 1, "owned:4:25:1:40")
+    for i in range(50, 53):
+        assert (found[i]["spans"], found[i]["n_live"], found[i]["frequencies"]) == ("owned:4:25", 1, "owned:4:25:1:3")
+    assert {r["n_live"] for r in scan_secrets(documents(rows), max_repositories=40).collect()} == {1}
