@@ -126,4 +126,72 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
         OR (n_words >= {MIN_HISTOGRAM_WORDS} AND lang <> 'other' AND word_js > {MAX_WORD_DIVERGENCE})) AS kept
 FROM based"""
 
-ORACLES = {"op6_quality": QUALITY, "op7_substring_dedup": SUBSTRING_DEDUP, "op9_url_filter": URL_FILTER}
+
+
+def _leaf(n_chars: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text"]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v})::VARCHAR || ':' || {v}, '-')" for v in values) + ")"
+
+
+# Levels of all trees by recursion; a proof is read off them; folding recurses over the levels of a proof. The trees of
+# the languages and the one above them are built alike. The crc32 is the usual one, bit by bit.
+MERKLE = f"""
+WITH RECURSIVE bits AS (
+    SELECT doc_id AS id, list_concat([4294967295::UBIGINT], [ord(c)::UBIGINT FOR c IN string_split(doc_id::VARCHAR, '')]) AS bytes
+    FROM (SELECT DISTINCT doc_id FROM documents)
+),
+sums AS (
+    SELECT id, xor(4294967295::UBIGINT, list_reduce(bytes, lambda c, b: list_reduce(
+        list_concat([xor(c, b)], [2::UBIGINT, 2, 2, 2, 2, 2, 2, 2]),
+        lambda x, two: CASE WHEN x % two = 1 THEN xor(x // two, 3988292384::UBIGINT) ELSE x // two END))) AS crc
+    FROM bits
+),
+leaves AS (
+    SELECT row_number() OVER (ORDER BY lang NULLS FIRST, doc_id NULLS FIRST, {_leaf("n_chars")}) AS row, doc_id,
+        coalesce('+' || lang, '') AS tree, {_leaf("n_chars")} AS leaf,
+        CASE WHEN crc % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS changed
+    FROM documents LEFT JOIN sums ON doc_id = id
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY row) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+),
+nodes AS (
+    SELECT tree, 0 AS level, place, leaf AS hash, n FROM placed
+    UNION ALL
+    SELECT tree, level + 1, place // 2, sha256(string_agg(hash, '' ORDER BY place)), (n + 1) // 2
+    FROM nodes WHERE n > 1 GROUP BY tree, level, place // 2, n
+),
+subroots AS (
+    SELECT tree, hash AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1
+),
+tops AS (
+    SELECT 0 AS level, place, subroot AS hash, n FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, sha256(string_agg(hash, '' ORDER BY place)), (n + 1) // 2
+    FROM tops WHERE n > 1 GROUP BY level, place // 2, n
+),
+steps AS (
+    SELECT p.row, nodes.level, p.place >> nodes.level AS own, nodes.place AS other, hash
+    FROM placed AS p JOIN nodes ON nodes.tree = p.tree AND nodes.n > 1 AND nodes.place // 2 = p.place >> (nodes.level + 1)
+    UNION ALL
+    SELECT p.row, 1000 + tops.level, s.place >> tops.level, tops.place, hash
+    FROM placed AS p JOIN subroots AS s ON s.tree = p.tree
+    JOIN tops ON tops.n > 1 AND tops.place // 2 = s.place >> (tops.level + 1)
+),
+ordered AS (
+    SELECT row, row_number() OVER (PARTITION BY row ORDER BY level) AS step,
+        coalesce(max(hash) FILTER (other < own), '') AS before, coalesce(max(hash) FILTER (other > own), '') AS after
+    FROM steps GROUP BY row, level
+),
+folded AS (
+    SELECT row, 1 AS step, changed AS hash FROM placed
+    UNION ALL
+    SELECT folded.row, folded.step + 1, sha256(before || hash || after) FROM folded JOIN ordered ON ordered.row = folded.row AND ordered.step = folded.step
+),
+proofs AS (SELECT row, string_agg(before || after, '' ORDER BY step) AS siblings FROM ordered GROUP BY row),
+ends AS (SELECT row, arg_max(hash, step) AS folded_root FROM folded GROUP BY row)
+SELECT doc_id, leaf, subroot, (SELECT hash FROM tops WHERE n = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root,
+    folded_root = (SELECT hash FROM tops WHERE n = 1) AS verified
+FROM placed JOIN subroots USING (tree) JOIN ends USING (row) LEFT JOIN proofs USING (row)"""
+
+ORACLES = {"op6_quality": QUALITY, "op7_substring_dedup": SUBSTRING_DEDUP, "op9_url_filter": URL_FILTER, "op12_merkle_manifest": MERKLE}

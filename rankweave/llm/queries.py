@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankweave.llm.embeddings import link_embeddings
 from rankweave.llm.extraction import extract_text
 from rankweave.llm.jaccard import join_similar
+from rankweave.llm.merkle import fold, leaf_hash, merkle_manifest
 from rankweave.llm.mixing import mix_sources
 from rankweave.llm.oracles import ORACLES
 from rankweave.llm.packing import pack
@@ -79,6 +81,21 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select("doc_id", "class_id", "n_links", "copy_id", "kept")
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = [F.try_add("n_chars", F.lit(1)) if c == "n_chars" else F.col(c) for c in columns]
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, leaf_hash(tampered))
+    rows = merkle_manifest(table(spark, folder, "documents"), columns, tree="lang", order="doc_id", keep={"changed": changed})
+    subroot = fold(F.coalesce("changed", "leaf"), F.col("place"), F.col("n"), F.col("siblings"))
+    folded = rows.withColumn("folded_subroot", subroot)
+    root = fold(F.col("folded_subroot"), F.col("top_place"), F.col("top_n"), F.col("top_siblings"))
+    folded = folded.withColumn("folded_root", root)
+    proof = F.sha2(F.concat("siblings", "top_siblings"), 256)
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in [
@@ -92,6 +109,7 @@ QUERIES = {
         op8_embedding_neighbours,
         op9_url_filter,
         op10_jaccard_join,
+        op12_merkle_manifest,
     ]
 }
 
