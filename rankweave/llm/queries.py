@@ -16,6 +16,7 @@ from rankweave.llm.packing import pack
 from rankweave.llm.quality import judge_quality
 from rankweave.llm.secrets import scan_secrets
 from rankweave.llm.substrings import dedup_substrings
+from rankweave.llm.suffixes import dedup_repeats
 from rankweave.llm.toxicity import score_toxicity
 from rankweave.llm.url_filter import filter_urls
 from rankweave.plans.table_inputs import table
@@ -96,6 +97,11 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = dedup_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 QUERIES = {
     query.__name__: query
     for query in [
@@ -110,6 +116,7 @@ QUERIES = {
         op9_url_filter,
         op10_jaccard_join,
         op12_merkle_manifest,
+        op13_suffix_dedup,
     ]
 }
 
