@@ -194,4 +194,25 @@ SELECT doc_id, leaf, subroot, (SELECT hash FROM tops WHERE n = 1) AS root, sha25
     folded_root = (SELECT hash FROM tops WHERE n = 1) AS verified
 FROM placed JOIN subroots USING (tree) JOIN ends USING (row) LEFT JOIN proofs USING (row)"""
 
-ORACLES = {"op6_quality": QUALITY, "op7_substring_dedup": SUBSTRING_DEDUP, "op9_url_filter": URL_FILTER, "op12_merkle_manifest": MERKLE}
+HARD_NEGATIVES = """
+WITH r AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+    FROM r AS a JOIN r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10"""
+
+ORACLES = {"op6_quality": QUALITY, "op7_substring_dedup": SUBSTRING_DEDUP, "op9_url_filter": URL_FILTER, "op11_hard_negatives": HARD_NEGATIVES, "op12_merkle_manifest": MERKLE}

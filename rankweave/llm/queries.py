@@ -11,6 +11,7 @@ from rankweave.llm.extraction import extract_text
 from rankweave.llm.jaccard import join_similar
 from rankweave.llm.merkle import fold, leaf_hash, merkle_manifest
 from rankweave.llm.mixing import mix_sources
+from rankweave.llm.negatives import mine_hard_negatives
 from rankweave.llm.oracles import ORACLES
 from rankweave.llm.packing import pack
 from rankweave.llm.quality import judge_quality
@@ -82,6 +83,16 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select("doc_id", "class_id", "n_links", "copy_id", "kept")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    x = F.transform("embedding", lambda v: v.cast("double"))
+    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").where(fine).select(
+        "vec_id", label.alias("label"), F.transform(x, lambda v: F.floor(v * 256)).alias("vector")
+    )
+    return mine_hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["doc_id", "source", "lang", "n_chars", "text"]
     tampered = [F.try_add("n_chars", F.lit(1)) if c == "n_chars" else F.col(c) for c in columns]
@@ -115,6 +126,7 @@ QUERIES = {
         op8_embedding_neighbours,
         op9_url_filter,
         op10_jaccard_join,
+        op11_hard_negatives,
         op12_merkle_manifest,
         op13_suffix_dedup,
     ]
