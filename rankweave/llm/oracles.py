@@ -2,14 +2,6 @@
 
 from __future__ import annotations
 
-from rankweave.llm.quality import (
-    COMMON_WORDS,
-    MAX_CLASS_DIVERGENCE,
-    MAX_WORD_DIVERGENCE,
-    MIN_CLASS_CHARS,
-    MIN_HISTOGRAM_WORDS,
-)
-
 WORDS = r"[x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> '']"
 
 # The longest rule is found by the order of the cases.
@@ -53,16 +45,16 @@ kept AS (
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
 
-_LISTS = ", ".join(f"('{lang}', {[w for w in words]})" for lang, words in COMMON_WORDS.items())
-_NO_WORDS = [""] * len(COMMON_WORDS["en"])
-
 QUALITY = rf"""
-WITH lists(lang, words) AS (VALUES {_LISTS}, ('other', {_NO_WORDS})),
+WITH lists(listed, words) AS (VALUES
+    ('de', string_split('der die und in den von zu das mit sich des auf für ist im dem', ' ')),
+    ('en', string_split('the of and to in a is that it for was on with as be at', ' ')),
+    ('es', string_split('de la que el en y a los se del las un por con no una', ' ')),
+    ('fr', string_split('de la le et les des en un du une que est pour qui dans sur', ' '))
+),
 d AS (
-    SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS w, words,
-        CASE WHEN documents.lang IN ('de', 'en', 'es', 'fr') THEN documents.lang ELSE 'other' END AS lang
-    FROM documents JOIN lists
-        ON lists.lang = CASE WHEN documents.lang IN ('de', 'en', 'es', 'fr') THEN documents.lang ELSE 'other' END
+    SELECT doc_id, lang, coalesce(text, '') AS text, {WORDS} AS w, listed, coalesce(words, list_resize([]::VARCHAR[], 16, '')) AS words
+    FROM documents LEFT JOIN lists ON listed = lang
 ),
 e AS (
     SELECT *, ' ' || regexp_replace(text, '[\x09-\x0D]', ' ', 'g') || ' ' AS spaced,
@@ -88,22 +80,6 @@ h AS (
         list_append(found, greatest(len(w) - list_sum(found), 0)) AS common
     FROM g
 ),
-bins AS (
-    SELECT doc_id, lang, 'class' AS kind, unnest(classes) AS v, unnest(range(len(classes))) AS i FROM h
-    UNION ALL
-    SELECT doc_id, lang, 'word', unnest(common), unnest(range(len(common))) FROM h
-),
-refs AS (SELECT lang, kind, i, sum(v) AS r FROM bins GROUP BY lang, kind, i),
-shares AS (
-    SELECT doc_id, kind,
-        v / nullif(sum(v) OVER (PARTITION BY doc_id, kind), 0) AS p, r / nullif(sum(r) OVER (PARTITION BY doc_id, kind), 0) AS q
-    FROM bins JOIN refs USING (lang, kind, i)
-),
-diverged AS (
-    SELECT doc_id, kind, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
-        + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 AS js
-    FROM shares WHERE p IS NOT NULL AND q IS NOT NULL GROUP BY doc_id, kind
-),
 triples AS (
     SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n
     FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
@@ -111,21 +87,37 @@ triples AS (
 covered AS (
     SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM triples WHERE n > 1) GROUP BY doc_id
 ),
-judged AS (
-    SELECT h.doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(solid) AS BIGINT) AS word_chars,
+counted AS (
+    SELECT h.*, CAST(len(w) AS BIGINT) AS n_words, CAST(length(solid) AS BIGINT) AS word_chars,
         CAST(length(regexp_replace(rest, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
-        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-        CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, c.js AS class_js, o.js AS word_js
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+        len(w) < 50 OR 100 * coalesce(covered.n, 0) > 50 * len(w) AS base_failed
     FROM h LEFT JOIN covered USING (doc_id)
-    LEFT JOIN diverged AS c ON c.doc_id = h.doc_id AND c.kind = 'class'
-    LEFT JOIN diverged AS o ON o.doc_id = h.doc_id AND o.kind = 'word'
-),
-based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM judged)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT (base_failed OR (word_chars >= {MIN_CLASS_CHARS} AND class_js > {MAX_CLASS_DIVERGENCE})
-        OR (n_words >= {MIN_HISTOGRAM_WORDS} AND lang <> 'other' AND word_js > {MAX_WORD_DIVERGENCE})) AS kept
-FROM based"""
-
+),
+bins AS (
+    SELECT doc_id, lang, 'class' AS kind, unnest(classes) AS v, unnest(range(len(classes))) AS i, list_sum(classes) AS total
+    FROM counted WHERE word_chars >= 200
+    UNION ALL
+    SELECT doc_id, lang, 'word', unnest(common), unnest(range(len(common))), list_sum(common) FROM counted WHERE n_words >= 100
+),
+examples AS (SELECT min(doc_id) AS doc_id FROM counted WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang, text),
+refs AS (
+    SELECT lang, kind, i, quantile_disc(round(10000 * (v / total)), 0.5) AS r
+    FROM bins JOIN examples USING (doc_id) GROUP BY lang, kind, i HAVING count(*) >= 10
+),
+shares AS (
+    SELECT doc_id, kind, v / total AS p, r / nullif(sum(r) OVER (PARTITION BY doc_id, kind), 0) AS q FROM bins JOIN refs USING (lang, kind, i)
+),
+diverged AS (
+    SELECT doc_id, kind, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+        + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 AS js
+    FROM shares WHERE q IS NOT NULL GROUP BY doc_id, kind
+)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT (base_failed OR coalesce(c.js > 0.12, false) OR coalesce(listed IS NOT NULL AND o.js > 0.30, false)) AS kept
+FROM counted AS f
+LEFT JOIN diverged AS c ON c.doc_id = f.doc_id AND c.kind = 'class'
+LEFT JOIN diverged AS o ON o.doc_id = f.doc_id AND o.kind = 'word'"""
 
 
 def _leaf(n_chars: str) -> str:

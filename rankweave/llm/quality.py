@@ -158,17 +158,6 @@ def document_features(documents: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def language_references(features: DataFrame) -> DataFrame:
-    """Total character classes and common words of each listed language, and of all others together."""
-
-    def totals(name: str, size: int) -> Column:
-        return F.array(*[F.sum(F.element_at(name, i + 1)) for i in range(size)])
-
-    return features.groupBy("_lang").agg(
-        totals("_classes", len(CHARACTER_CLASSES)).alias("_ref_classes"), totals("_common", N_COMMON + 1).alias("_ref_common")
-    )
-
-
 def _base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
 
@@ -240,29 +229,25 @@ def judge_quality(
     keep: list[str] | None = None,
     max_class_divergence: float = MAX_CLASS_DIVERGENCE,
     max_word_divergence: float = MAX_WORD_DIVERGENCE,
-    typical: bool = True,
 ) -> DataFrame:
-    """Counts, ``base_failed``, two divergences, two distances and ``kept`` for each row of ``documents``.
+    """Counts, ``base_failed``, two distances and ``kept`` for each row of ``documents``.
 
     ``base_failed``: under ``MIN_WORDS`` words, or over ``MAX_REPEATED_PERCENT`` percent of the words in three-word
     windows found twice. Other rows are rejected if the histogram of character classes, or that of the frequent
     words of their language, is further from what is typical of the language (``robust_references``) than allowed:
-    ``class_distance`` and ``word_distance``, null where there is no reference. ``class_divergence`` and
-    ``word_divergence`` are from the sum of all documents of the language, which copies, long texts and junk can shift;
-    unless ``typical``, they decide for the languages with a list, as in the SQL of ``op6_quality``. Histograms of fewer than ``MIN_CLASS_CHARS`` characters or ``MIN_HISTOGRAM_WORDS`` words are not judged.
+    ``class_distance`` and ``word_distance``, null where there is no reference. Histograms of fewer than
+    ``MIN_CLASS_CHARS`` characters or ``MIN_HISTOGRAM_WORDS`` words are not judged.
 
     Languages without a list are judged by character classes only, each by its own; null and those of few texts are
-    not judged by histograms, and the sum takes all of them together. A null text counts as empty and fails. Repeated rows are judged alike and stay. An empty table gives an empty result.
-    ``keep`` (``doc_id`` unless given) names the columns to carry along.
+    not judged by histograms. A null text counts as empty and fails. Repeated rows are judged alike and stay. An empty
+    table gives an empty result. ``keep`` (``doc_id`` unless given) names the columns to carry along.
 
-    The features are stored once. The sums have a row for each listed language and one for the rest, the references at
-    most one for every ``MIN_REFERENCE_TEXTS`` texts and in practice one a language; both are broadcast.
+    The features are stored once. The references have at most one row for every ``MIN_REFERENCE_TEXTS`` texts and in
+    practice one a language.
     """
     keep = keep or ["doc_id"]
     features = stored(document_features(documents, keep), "quality")
-    joined = features.join(F.broadcast(language_references(features)), "_lang").join(
-        F.broadcast(robust_references(features)), "_own_lang", "left"
-    )
+    joined = features.join(stored(robust_references(features), "references"), "_own_lang", "left")
     judged = joined.select(
         *keep,
         "n_words",
@@ -271,20 +256,15 @@ def judge_quality(
         "n_dup_lines",
         "n_repeat_words",
         "_lang",
-        jensen_shannon(F.col("_classes"), F.col("_ref_classes")).alias("class_divergence"),
-        jensen_shannon(F.col("_common"), F.col("_ref_common")).alias("word_divergence"),
         jensen_shannon(F.col("_classes"), F.col("_typical_classes")).alias("class_distance"),
         jensen_shannon(F.col("_common"), F.col("_typical_common")).alias("word_distance"),
     )
     base_failed = _base_failed()
-    robust = F.lit(typical) | (F.col("_lang") == OTHER)
-    class_gap = F.when(robust, F.col("class_distance")).otherwise(F.col("class_divergence"))
-    word_gap = F.when(robust, F.col("word_distance")).otherwise(F.col("word_divergence"))
-    far_classes = (F.col("word_chars") >= MIN_CLASS_CHARS) & (class_gap > max_class_divergence)
+    far_classes = (F.col("word_chars") >= MIN_CLASS_CHARS) & (F.col("class_distance") > max_class_divergence)
     far_words = (
         (F.col("n_words") >= MIN_HISTOGRAM_WORDS)
         & (F.col("_lang") != OTHER)
-        & (word_gap > max_word_divergence)
+        & (F.col("word_distance") > max_word_divergence)
     )
     rejected = base_failed | F.coalesce(far_classes, F.lit(False)) | F.coalesce(far_words, F.lit(False))
     return judged.select(
@@ -296,8 +276,6 @@ def judge_quality(
         "n_repeat_words",
         base_failed.alias("base_failed"),
         (~rejected).alias("kept"),
-        "class_divergence",
-        "word_divergence",
         "class_distance",
         "word_distance",
     )

@@ -61,9 +61,7 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
-    # The SQL judges by sums.
-    judged = judge_quality(table(spark, folder, "documents"), typical=False)
-    return judged.drop("class_divergence", "word_divergence", "class_distance", "word_distance")
+    return judge_quality(table(spark, folder, "documents")).drop("class_distance", "word_distance")
 
 
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -61,10 +61,11 @@ def test_divergences(documents):
     odd = " ".join(f"#{i}%{i}" for i in range(200))
     known = [*normal, odd]
     got = {r["doc_id"]: r for r in judge_quality(documents(list(enumerate(known)))).collect()}
-    total = [sum(c) for c in zip(*map(classes, known))]
-    assert len(total) == len(CHARACTER_CLASSES)
+    shares = [[c / sum(classes(t)) for c in classes(t)] for t in known]
+    typical = [sorted(math.floor(10_000 * s + 0.5) for s in bin)[(len(known) - 1) // 2] for bin in zip(*shares)]
+    assert len(typical) == len(CHARACTER_CLASSES)
     for i, text in enumerate(known):
-        assert got[i]["class_divergence"] == pytest.approx(jsd(classes(text), total))
+        assert got[i]["class_distance"] == pytest.approx(jsd(classes(text), typical))
     assert got[0]["kept"] and not got[40]["kept"], (got[0], got[40])
 
 
@@ -113,3 +114,25 @@ def test_each_language_has_its_own_reference(documents):
     got = {r["doc_id"]: r["kept"] for r in judge_quality(documents(rows)).collect()}
     # One text is too few for a reference of its own, and so is no language.
     assert {i for i, kept in got.items() if not kept} == {200}
+
+
+def test_the_query_keeps_clean_documents_next_to_as_much_junk(spark, tmp_path):
+    """The registered query, with tables of numbers that have as many characters as all else, and its SQL."""
+    import duckdb
+
+    from rankweave.llm.queries import ORACLES, QUERIES
+
+    clean = [(i, prose(i), "en" if i % 3 else "it", "s", 1) for i in range(200)]
+    size = sum(len(text) for _, text, *_ in clean)
+    junk = [(1000 + i, (" ".join(f"{7919 * k + i}.{k}" for k in range(9000)))[: size // 49], "en", "s", 1) for i in range(49)]
+    copies = [(2000 + i, " ".join(f"#{k}%{k}" for k in range(200)), "en", "s", 1) for i in range(80)]
+    rows = [*clean, *junk, *copies, (3000, None, None, None, None), (3001, prose(1), None, "s", 1), (3002, prose(2, "xyz"), "fi", "s", 1)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r.asDict() for r in QUERIES["op6_quality"](spark, str(tmp_path)).collect()}
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        wanted = db.sql(ORACLES["op6_quality"]).to_arrow_table().to_pylist()
+    assert found == {row["doc_id"]: row for row in wanted}
+    judged = [found[i] for i, *_ in clean if not found[i]["base_failed"] and i % 3 == 0]
+    assert judged and all(r["kept"] for r in judged)
+    assert not any(found[i]["kept"] for i, *_ in [*junk, *copies])

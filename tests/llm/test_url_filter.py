@@ -27,7 +27,7 @@ def by_hand(url, rules):
     for verdict, rule in rules:
         rule_host, slash, rule_path = rule.partition("/")
         if (host == rule_host or host.endswith("." + rule_host)) and path.startswith(slash + rule_path):
-            best = max(best or (), (rule_host.count("."), len(rule_path), verdict, rule))
+            best = max(best or (), (rule_host.count("."), len(slash + rule_path), verdict, rule))
     return (host, path, best[3] if best else None, best[2] if best else "allow")
 
 
