@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
@@ -30,3 +34,13 @@ def test_entry(spark):
     result = contract.entry(spark)
     assert result.columns == ["doc", "score"]
     assert result.count() > 0
+
+
+@pytest.mark.parametrize("missing", ["public_tokenizers", "rankweave.llm", "corpus_pipeline"])
+def test_the_entry_works_without_the_optional_part(missing):
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as c; print(len(c.queries()), 'pipeline' in c.queries())"
+    root = Path(__file__).resolve().parent.parent
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    from rankweave.plans.table_queries import QUERIES
+
+    assert int(out[0]) >= len(QUERIES) and out[1] == "False"
