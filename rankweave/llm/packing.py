@@ -25,6 +25,7 @@ BLOCK_CHARS = 2_000_000  # texts are encoded in blocks of about this size
 
 OTHER_SPACE = re.compile(r"[^\S ]")
 SPECIAL = "<|endoftext|>"
+LONG_SPACE = re.compile(r"(?<!\s)\s{10000}")  # the faster encoder fails on a run of white space of some hundred thousand
 ONLY_BLANK = np.zeros(256, dtype=bool)
 ONLY_BLANK[32] = True
 
@@ -42,8 +43,8 @@ class Tokens:
 
     Its merges never cross a blank that stands alone between words, so the distinct words of a block of texts are
     encoded together, once, and told apart by the bytes of their ids. Texts with other white space around blanks are
-    encoded whole. The rank file has the same vocabulary and is faster; a text with a special token in it goes through
-    the other file.
+    encoded whole. The rank file has the same vocabulary and is faster; a text with a special token or a very long run
+    of white space in it goes through the other file.
     """
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str):
@@ -59,12 +60,13 @@ class Tokens:
 
     def block(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        parted = [i for i, text in enumerate(texts) if text and SPECIAL not in text and blanks_part(text)]
+        plain = [SPECIAL not in text and not LONG_SPACE.search(text) for text in texts]
+        parted = [i for i, text in enumerate(texts) if text and plain[i] and blanks_part(text)]
         found = dict(zip(parted, self._by_words([texts[i] for i in parted])))
-        return [found[i] if i in found else self._one(text) for i, text in enumerate(texts)]
+        return [found[i] if i in found else self._one(text, plain[i]) for i, text in enumerate(texts)]
 
-    def _one(self, text: str) -> np.ndarray:
-        if SPECIAL not in text:
+    def _one(self, text: str, plain: bool) -> np.ndarray:
+        if plain:
             return np.array(self._encode(text), dtype="<u4")
         if self._whole is None:
             from tokenizers import Tokenizer

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -45,9 +46,17 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
     found = [(m.start(), 0, m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_VALUE]
     found += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text)]
-    taken = sorted((start, end) for start, _, end, _ in found)
+    starts, ends = [], []
+    for start, _, end, _ in sorted(found):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(end, ends[-1])
+        else:
+            starts.append(start)
+            ends.append(end)
     for m in TOKEN.finditer(text):
-        inside = any(start < m.end() and m.start() < end for start, end in taken)
+        # The first of the joined spans that ends behind the token's start.
+        i = bisect_right(ends, m.start())
+        inside = i < len(starts) and starts[i] < m.end()
         if not inside and looks_random(m[0]):
             found.append((m.start(), 3, m.end(), m[0]))
     return sorted(found)

@@ -31,6 +31,16 @@ def test_ids_equal_the_tokenizers_file(reference):
         assert ids.tolist() == reference(text) == tokens(text).tolist(), repr(text)
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\t", "\r\n", " \n", "\u3000", "a b", "ab", "9", "!"])
+def test_a_million_of_the_same_characters(reference, space):
+    """Runs of white space and of others, alone, between words, at an end, and beside ordinary texts in a block."""
+    run = space * (1_000_000 // len(space))
+    tokens = Tokens(**FILES)
+    texts = ["a word", run, f"some words{run}and more", f"{run} x", f"x {run}"] if space.isspace() else ["a word", run]
+    for text, ids in zip(texts, tokens.block(texts), strict=True):
+        assert ids.tolist() == reference(text)
+
+
 def check(found, rows, reference, window):
     found = [r.asDict() for r in found]
     expected = sorted((i is None, i or 0, [*reference(t or ""), 1]) for i, t in rows)
