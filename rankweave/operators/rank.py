@@ -1,33 +1,27 @@
 """Link rank: damped rounds over a multigraph of pages.
 
-Links are held as ``weights(src, dst, weight)``, where the weight is the share
-of a source's rank that goes to a target. They are partitioned and sorted by
-source once; each round then joins them with the ranks in place and shuffles
-nothing but the contributions, which are summed before and after the shuffle.
+Pages have numbers, kept in a dictionary, and links are held as ``(src, dst, weight)`` by number, where the weight is
+the share of a source's rank that goes to a target. They are put into buckets by source once; each round joins them in
+place with the ranks and shuffles nothing but the contributions, which are summed before and after the shuffle.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankweave.operators.lists import LIST_ENTRIES, collect_copies, long_keys, with_list_parts
-from rankweave.operators.skew import heavy_keys, per_part, with_parts
-from rankweave.runtime import checkpoint, checkpoint_with_layout, shuffle_partitions, stored
+from rankweave.runtime import bucketed, forget, shuffle_partitions, stored
 
 # The rank every source starts with, whatever the damping, and the defaults.
 INITIAL_RANK = 0.85
 DAMPING = 0.85
 ITERATIONS = 2
 
-# Rounds whose plans may pile up before the ranks are written out.
-ROUNDS_PER_CHECKPOINT = 5
-
-# A source with fewer distinct targets than this is never split, and the parts of others are this much smaller.
-MIN_HEAVY_LINKS = 1_000_000
-PART_FINENESS = 4
+# Bits of a hash that make the number of a page.
+NUMBER_BITS = 62
 
 
 def clamp_damping(damping: float) -> float:
@@ -78,7 +72,7 @@ def rank_state(edges: DataFrame | Graph, ranks: DataFrame, max_list: int = LIST_
 
 def _link_lists(edges: DataFrame | Graph, max_list: int) -> tuple[DataFrame, DataFrame]:
     # The links are read twice, and edges may come straight from a dump.
-    links = edges.links if isinstance(edges, Graph) else stored(count_links(edges), "links")
+    links = stored(edges.named_links() if isinstance(edges, Graph) else count_links(edges), "links")
     long = long_keys(links, "src", F.col("copies"), max_list)
     lists = collect_copies(links, "src", "dst", "copies", "links", long, max_list)
     return lists.withColumnRenamed("src", "page"), long
@@ -94,67 +88,101 @@ def adjacency_ranks(adjacency: DataFrame) -> DataFrame:
     return adjacency.select("page", "rank").distinct()
 
 
-def _outgoing(links: DataFrame) -> DataFrame:
-    return links.groupBy("src").agg(F.sum("copies").alias("out"), F.count("*").alias("targets"))
-
-
 @dataclass(frozen=True)
 class Graph:
-    """Weighted links laid out for the rounds, their sources, and the counted links; ``heavy`` is set when some were split."""
+    """A graph laid out for the rounds, by the numbers of its pages.
+
+    ``pages(number, page)`` is the dictionary and ``links(src, dst, copies)`` the counted links. ``light(src, dst,
+    weight)`` are the weighted links, in ``buckets`` by source, but for those of the sources in ``hubs(hub, out)``, which
+    ``heavy(src, dst, weight)`` has in no order.
+    """
 
-    weights: DataFrame
-    sources: DataFrame
-    heavy: DataFrame | None
+    pages: DataFrame
     links: DataFrame
+    light: DataFrame
+    heavy: DataFrame
+    hubs: DataFrame
+    buckets: int
+
+    def named_links(self) -> DataFrame:
+        """``links(src, dst, copies)`` by the names of the pages."""
+        source = self.pages.select(F.col("number").alias("src"), F.col("page").alias("source"))
+        target = self.pages.select(F.col("number").alias("dst"), F.col("page").alias("target"))
+        named = self.links.join(source, "src").join(target, "dst")
+        return named.select(F.col("source").alias("src"), F.col("target").alias("dst"), "copies")
 
-    @property
-    def key(self) -> list[str]:
-        return ["src"] if self.heavy is None else ["src", "part"]
+    def numbered_ranks(self, ranks: DataFrame) -> DataFrame:
+        """``ranks(page, rank)`` as ``(number, rank)``, in buckets by number; pages that are not in the graph drop out."""
+        found = ranks.join(self.pages, "page").select("number", "rank")
+        return bucketed(found.repartition(self.buckets, "number"), "ranks", "number", self.buckets)
 
-    def spread(self, ranks: DataFrame) -> DataFrame:
-        """Ranks keyed like the links, a heavy source once per part."""
-        ranks = ranks.withColumnRenamed("page", "src")
-        return ranks if self.heavy is None else per_part(ranks, "src", self.heavy)
 
+def _number(page: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(page), 64 - bits)
 
-def lay_out(edges: DataFrame, min_heavy_links: int = MIN_HEAVY_LINKS) -> Graph:
-    """Collapse duplicate links, weigh them, and partition and sort them by source for the rounds.
 
-    A source with more links than an average partition is split over several
-    partitions by a hash of the target, so a hub does not end up in one task.
+def number_pages(edges: DataFrame, bits: int = NUMBER_BITS) -> tuple[DataFrame, DataFrame]:
+    """The pages of ``edges(src, dst)`` as ``pages(number, page)``, and ``others(page, number)``, those not numbered by hash.
+
+    A page's number is a hash of its name, so no join is needed to find it. Where names share a hash, the first one
+    has it; the others, next to none, get negative numbers, which no hash has.
     """
-    partitions = shuffle_partitions(edges.sparkSession)
-    links = stored(count_links(edges), "links")
-    sources = stored(_outgoing(links), "sources")
-    sizes = sources.agg(F.max("targets").alias("largest"), F.sum("targets").alias("total")).first()
-    bound = max((sizes["total"] or 0) / partitions, min_heavy_links)
-    heavy, key, spread, outgoing = None, ["src"], links, sources
-    if (sizes["largest"] or 0) > bound:
-        heavy = checkpoint(heavy_keys(sources, "src", "targets", F.lit(bound), PART_FINENESS))
-        key = ["src", "part"]
-        part = F.pmod(F.xxhash64("dst"), F.col("parts"))
-        spread = with_parts(links, "src", heavy).withColumn("part", part)
-        outgoing = per_part(sources, "src", heavy)
-    weights = (
-        spread.repartition(partitions, *key)
-        .join(outgoing, key)
-        .select(*key, "dst", (F.col("copies") / F.col("out")).alias("weight"))
-        .sortWithinPartitions(*key)
-    )
-    return Graph(checkpoint_with_layout(weights), sources.select(F.col("src").alias("page")), heavy, links)
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("page")).distinct()
+    hashed = stored(ends.select(_number(F.col("page"), bits).alias("number"), "page"), "pages")
+    firsts = hashed.groupBy("number").agg(F.min("page").alias("first"), F.count("*").alias("names")).where("names > 1")
+    later = hashed.join(stored(firsts, "shared"), "number").where("page <> first").select("page")
+    others = stored(later.withColumn("number", -1 - F.monotonically_increasing_id()), "others")
+    named = hashed.join(others.withColumnRenamed("number", "other"), "page", "left")
+    return named.select(F.coalesce("other", "number").alias("number"), "page"), others
+
+
+def lay_out(edges: DataFrame, bits: int = NUMBER_BITS) -> Graph:
+    """Number the pages, collapse duplicate links, weigh them, and put them into buckets by source for the rounds.
+
+    The layout is the same for every graph. Sources with more targets than an average bucket are its hubs: fewer than
+    there are buckets, whatever the graph. Their links are kept apart, and joined with a broadcast of their ranks.
+    """
+    buckets = shuffle_partitions(edges.sparkSession)
+    # The edges are read twice, and may come straight from a dump.
+    edges = stored(edges.select("src", "dst"), "edges")
+    pages, others = number_pages(edges, bits)
+    pages = bucketed(pages.repartition(buckets, "number"), "pages", "number", buckets)
+    numbered = edges
+    for end in ("src", "dst"):
+        other = others.select(F.col("page").alias(end), F.col("number").alias(f"{end}_number"))
+        numbered = numbered.join(other, end, "left").withColumn(f"{end}_number", F.coalesce(f"{end}_number", _number(F.col(end), bits)))
+    links = stored(count_links(numbered.select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))), "links")
+    average = links.count() / buckets
+    sources = links.groupBy(F.col("src").alias("hub")).agg(F.sum("copies").alias("out"), F.count("*").alias("targets"))
+    hubs = stored(sources.where(F.col("targets") > average).select("hub", "out"), "hubs")
+    out = F.sum("copies").over(Window.partitionBy("src"))
+    light = links.join(F.broadcast(hubs), F.col("src") == F.col("hub"), "left_anti").repartition(buckets, "src")
+    light = light.select("src", "dst", (F.col("copies") / out).alias("weight"))
+    heavy = links.join(F.broadcast(hubs), F.col("src") == F.col("hub")).select("src", "dst", (F.col("copies") / F.col("out")).alias("weight"))
+    forget(edges)
+    return Graph(pages, links, bucketed(light, "light", "src", buckets), stored(heavy, "heavy"), hubs, buckets)
+
+
+def _handed(graph: Graph, ranks: DataFrame | None, missing: float) -> DataFrame:
+    """``contributions`` by number; ``ranks(number, rank)`` lie in buckets by number, so that nothing is moved."""
+    if ranks is None:
+        both = graph.light.unionByName(graph.heavy)
+        return both.select(F.col("dst").alias("page"), (F.lit(missing) * F.col("weight")).alias("contribution"))
+    rank = F.coalesce("rank", F.lit(missing))
+    # A hash table of the ranks of a bucket spares sorting its links.
+    light = graph.light.join(ranks.hint("shuffle_hash"), F.col("src") == F.col("number"), "left")
+    of_hubs = ranks.join(F.broadcast(graph.hubs), F.col("number") == F.col("hub"), "left_semi")
+    heavy = graph.heavy.join(F.broadcast(of_hubs), F.col("src") == F.col("number"), "left")
+    return light.unionByName(heavy).select(F.col("dst").alias("page"), (rank * F.col("weight")).alias("contribution"))
 
 
 def contributions(graph: Graph, ranks: DataFrame | None, missing: float = INITIAL_RANK) -> DataFrame:
     """What each source hands to each of its targets: ``contributions(page, contribution)``.
 
-    Sources without a row in ``ranks`` have the rank ``missing``.
+    Sources without a row in ``ranks(page, rank)`` have the rank ``missing``.
     """
-    rank = F.lit(missing)
-    linked = graph.weights
-    if ranks is not None:
-        linked = linked.join(graph.spread(ranks), graph.key, "left")
-        rank = F.coalesce("rank", rank)
-    return linked.select(F.col("dst").alias("page"), (rank * F.col("weight")).alias("contribution"))
+    handed = _handed(graph, None if ranks is None else graph.numbered_ranks(ranks), missing)
+    return handed.join(graph.pages, handed["page"] == graph.pages["number"]).select(graph.pages["page"], "contribution")
 
 
 def update_ranks(contributed: DataFrame, nodes: DataFrame | None = None, damping: float = DAMPING) -> DataFrame:
@@ -166,6 +194,11 @@ def update_ranks(contributed: DataFrame, nodes: DataFrame | None = None, damping
     return contributed.groupBy("page").agg(damped.alias("rank"))
 
 
+def rank_round(graph: Graph, ranks: DataFrame | None, missing: float, damping: float) -> DataFrame:
+    """One round by number: ``(number, rank)`` of the pages with in-links."""
+    return update_ranks(_handed(graph, ranks, missing), damping=damping).withColumnRenamed("page", "number")
+
+
 def rank_step(edges: DataFrame | Graph, ranks: DataFrame, damping: float = DAMPING) -> DataFrame:
     """One round from the given ranks: ``ranks(page, rank)`` of all pages."""
     return rank_pages(edges, damping, 1, ranks=ranks)
@@ -184,16 +217,21 @@ def rank_pages(
     row per page, where sources without a row start from ``initial_rank``. Several
     runs over one graph can share what ``lay_out`` gives. The rank of a page without
     links is not handed on.
+
+    The ranks of each round but the last are written, in the buckets that the next one reads, and those before removed.
     """
     graph = edges if isinstance(edges, Graph) else lay_out(edges)
     missing = float(initial_rank)
+    current = None if ranks is None else graph.numbered_ranks(ranks)
     # Between rounds only pages with in-links have a row: any other source has one minus damping.
-    for done in range(1, int(iterations)):
-        ranks = update_ranks(contributions(graph, ranks, missing), damping=damping)
+    for _ in range(1, int(iterations)):
+        before, current = current, bucketed(rank_round(graph, current, missing, damping), "ranks", "number", graph.buckets)
         missing = 1.0 - clamp_damping(damping)
-        if done % ROUNDS_PER_CHECKPOINT == 0:
-            ranks = checkpoint(ranks)
-    return update_ranks(contributions(graph, ranks, missing), graph.sources, damping)
+        if before is not None:
+            forget(before)
+    last = rank_round(graph, current, missing, damping)
+    rank = F.coalesce("rank", F.lit(1.0 - clamp_damping(damping)))
+    return graph.pages.join(last, "number", "left").select("page", rank.alias("rank"))
 
 
 def number_ranks(ranks: DataFrame) -> DataFrame:

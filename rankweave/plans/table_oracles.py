@@ -224,6 +224,8 @@ SELECT dst AS page, rank * weight AS contribution FROM weights JOIN ranks0 ON sr
     "rank_damping": _rank_query(ACCOUNT_EDGES, 3, 0.5),
     "rank_resume": _rank_query(ACCOUNT_EDGES, 3),
     "rank_hubs": _rank_query(STATUS_EDGES, 3),
+    "rank_numbered": f"""SELECT page, rank, links FROM ({_rank_query(ACCOUNT_EDGES, 3)})
+LEFT JOIN (WITH {ACCOUNT_EDGES} SELECT src AS page, count(*) AS links FROM edges GROUP BY src) USING (page)""",
     "adjacency_hubs": f"WITH {STATUS_EDGES} {_split_sizes('page', '(SELECT src AS page FROM edges)')}",
     "adjacency_parts": f"WITH {STATUS_EDGES} SELECT src, dst FROM edges",
     "rank_rows": f"""WITH {DOCUMENT_EDGES},{_ranks(2)}

@@ -135,9 +135,15 @@ def rank_damping(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rank_hubs(spark: SparkSession, folder: str) -> DataFrame:
-    """Ranks with the hubs of the graph split, however small they are."""
-    graph = rank.lay_out(inputs.status_edges(spark, folder), min_heavy_links=1)
-    return _rounded(rank.rank_pages(graph, iterations=3), "rank")
+    """Ranks of a graph whose hubs have most links."""
+    return _rounded(rank.rank_pages(inputs.status_edges(spark, folder), iterations=3), "rank")
+
+
+def rank_numbered(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranks where many pages share the hash that numbers them, and each link by the names of its ends again."""
+    graph = rank.lay_out(inputs.account_edges(spark, folder), bits=8)
+    links = graph.named_links().groupBy(F.col("src").alias("page")).agg(F.sum("copies").alias("links"))
+    return _rounded(rank.rank_pages(graph, iterations=3), "rank").join(links, "page", "left")
 
 
 def adjacency_hubs(spark: SparkSession, folder: str) -> DataFrame:
@@ -358,6 +364,7 @@ QUERIES = {
         rank_state_rounds,
         rank_resume,
         rank_hubs,
+        rank_numbered,
         adjacency_hubs,
         adjacency_parts,
         rank_rows,

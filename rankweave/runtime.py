@@ -3,14 +3,10 @@
 from __future__ import annotations
 
 import tempfile
-import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-ADAPTIVE = "spark.sql.adaptive.enabled"
-_adaptive_off = threading.Lock()
-
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -53,27 +49,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like ``stored``, in buckets by ``key``: joins and sums by it read the table in place, without an exchange.
+
+    Only tables of the catalog have buckets. The data lies in the shared folder, and ``forget`` removes both.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{table}"
+    df.write.format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    result = spark.table(table)
+    result.stored_at, result.stored_as = path, table
+    return result
+
+
 def forget(table: DataFrame) -> None:
-    """Remove a table that ``stored`` wrote; nothing may read it any more."""
+    """Remove a table that ``stored`` or ``bucketed`` wrote; nothing may read it any more."""
     spark = table.sparkSession
+    if hasattr(table, "stored_as"):
+        spark.sql(f"DROP TABLE IF EXISTS {table.stored_as}")
     path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def checkpoint_with_layout(df: DataFrame) -> DataFrame:
-    """Like ``checkpoint``, but the result still knows how it is partitioned and sorted.
-
-    Under adaptive execution the layout is only known at run time and is not
-    carried over, so the write itself is planned without it. The setting belongs
-    to the session: other queries of the session that are planned meanwhile go
-    without it as well, and layouts are written one at a time.
-    """
-    shared_folder(df.sparkSession)
-    conf = df.sparkSession.conf
-    with _adaptive_off:
-        before = conf.get(ADAPTIVE)
-        conf.set(ADAPTIVE, "false")
-        try:
-            return df.checkpoint()
-        finally:
-            conf.set(ADAPTIVE, before)
