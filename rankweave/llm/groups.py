@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankweave.runtime import stored
+
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
     """Consecutive rows with equal ``keys``, also across batches."""
@@ -29,6 +31,22 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield last, pa.Table.from_batches(parts)
 
 
+def placed(rows: DataFrame, group: str, order: list[str | Column]) -> DataFrame:
+    """Rows with their ``place`` in the order of their group, from 0, and the number ``n`` of its rows; stored.
+
+    They are sorted by ranges, so no group is too large; only the rows of each group in each range are summed.
+    """
+    ordered = rows.orderBy(group, *order).withColumn("_id", F.monotonically_increasing_id())
+    ordered = stored(ordered.withColumn("_range", F.shiftright("_id", 33)), "ordered")
+    cells = ordered.groupBy(group, "_range").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    ranges = Window.partitionBy(group).orderBy("_range")
+    before = F.sum("_rows").over(ranges.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_rows")
+    cells = cells.withColumn("_before", before).withColumn("n", F.sum("_rows").over(Window.partitionBy(group)))
+    place = F.col("_before") + F.col("_id") - F.col("_first")
+    found = ordered.join(stored(cells.drop("_rows"), "cells"), [group, "_range"]).withColumn("place", place)
+    return stored(found.drop("_id", "_range", "_first", "_before"), "placed")
+
+
 def explode_cells(members: DataFrame, count: Column, row: Column, size: int) -> DataFrame:
     """Deal the rows of a key into blocks of about ``size`` and send each block to its cells with all blocks.
 

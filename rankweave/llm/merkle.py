@@ -7,9 +7,10 @@ sibling is on, or that a node has none, follows from ``place`` and ``n`` alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.llm.groups import placed
 from rankweave.runtime import forget, stored
 
 BLOCK_LEVELS = 8  # levels that one group of nodes is hashed up at a time: groups hold 2 ** BLOCK_LEVELS nodes
@@ -28,22 +29,6 @@ def _height(n: Column) -> Column:
     return F.when(n > 1, F.length(F.bin(n - 1))).otherwise(F.lit(0))
 
 
-def _numbered(leaves: DataFrame, order: list[str]) -> DataFrame:
-    """Leaves with their ``place`` in the order of their tree, from 0, and the number ``n`` of its leaves.
-
-    They are sorted by ranges; only the rows of each tree in each range are summed.
-    """
-    ordered = leaves.orderBy("tree", *order).withColumn("_id", F.monotonically_increasing_id())
-    ordered = stored(ordered.withColumn("_range", F.shiftright("_id", 33)), "ordered")
-    cells = ordered.groupBy("tree", "_range").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    ranges = Window.partitionBy("tree").orderBy("_range")
-    before = F.sum("_rows").over(ranges.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_rows")
-    cells = cells.withColumn("_before", before).withColumn("n", F.sum("_rows").over(Window.partitionBy("tree")))
-    place = F.col("_before") + F.col("_id") - F.col("_first")
-    numbered = ordered.join(stored(cells.drop("_rows"), "cells"), ["tree", "_range"]).withColumn("place", place)
-    return stored(numbered.drop("_id", "_range", "_first", "_before"), "leaves")
-
-
 def _parents(nodes: Column) -> Column:
     """Hashes of each two consecutive nodes; of the last one alone where it is left over."""
     pairs = F.sequence(F.lit(0), F.floor((F.size(nodes) - 1) / 2).cast("int"))
@@ -94,7 +79,7 @@ def prove(leaves: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
     Returns the leaves with ``place``, ``n`` and ``siblings``, the hashes of a leaf's siblings from its level to the
     root in one string, and ``roots(tree, root)``.
     """
-    numbered = _numbered(leaves, order)
+    numbered = placed(leaves, "tree", order)
     height = numbered.agg(F.max(_height(F.col("n")))).first()[0] or 0
     nodes, pointers, roots = numbered.select("tree", "n", "place", "hash"), None, None
     for base in range(0, height + 1, BLOCK_LEVELS):

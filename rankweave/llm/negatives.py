@@ -12,10 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankweave.llm.groups import placed, sorted_groups
 from rankweave.runtime import forget, stored
 
 BUCKET = 8192  # rows that are compared with at a time
@@ -23,52 +23,21 @@ ANCHORS = 1024  # anchors that travel together
 FOCUS = 4  # coordinates whose ranges are intersected
 LEAST, MOST = -(2**63), 2**63 - 1
 
-PACKED = "part long, place long, width int, longest double, needed double, packed binary"
+PACKED = "width int, number long, longest double, needed double, packed binary"
 FOUND = "anchor long, which int, score long, id long, row long"
 
 
-def _pack(size: int):
-    """Rows, sorted by width and falling length, into blocks of up to ``size`` rows of one width."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        part, place = TaskContext.get().partitionId(), 0
-
-        def block(table: pa.Table) -> pa.RecordBatch:
-            nonlocal place
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema) as writer:
-                writer.write_table(table)
-            row = (part, place, table.column("width")[0].as_py(), max(table.column("norm").to_pylist()), min(table.column("needed").to_pylist()))
-            place += 1
-            return pa.RecordBatch.from_arrays(
-                [*(pa.array([value]) for value in row), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                schema=pa.schema(
-                    [("part", pa.int64()), ("place", pa.int64()), ("width", pa.int32()), ("longest", pa.float64()), ("needed", pa.float64()), ("packed", pa.binary())]
-                ),
-            )
-
-        def blocks(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            table = pa.Table.from_batches(held)
-            while table.num_rows:
-                widths = table.column("width").to_numpy()
-                end = min(size, int((widths == widths[0]).argmin()) or len(widths))
-                if not last and end == len(widths) and end < size:
-                    break
-                yield block(table.slice(0, end))
-                table = table.slice(end)
-            held = table.to_batches()
-
-        for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                if sum(b.num_rows for b in held) >= size:
-                    yield from blocks(last=False)
-        if held:
-            yield from blocks(last=True)
-
-    return run
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each bucket as one row."""
+    for (width, number), table in sorted_groups(batches, ["width", "number"]):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        longest, needed = max(table.column("norm").to_pylist()), min(table.column("needed").to_pylist())
+        columns = [(width, pa.int32()), (number, pa.int64()), (longest, pa.float64()), (needed, pa.float64()), (sink.getvalue().to_pybytes(), pa.binary())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([value], kind) for value, kind in columns], names=["width", "number", "longest", "needed", "packed"]
+        )
 
 
 class _Block:
@@ -184,24 +153,19 @@ def search_block(block: _Block, anchors: _Block, k: int, same: bool, focus: int
 
 
 def _packed(rows: DataFrame, size: int) -> DataFrame:
-    ordered = rows.orderBy("width", F.desc("norm"), "row")
-    return stored(ordered.mapInArrow(_pack(size), PACKED), "blocks")
-
-
-def _numbered(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Buckets with a ``number`` from 0 in their width, the longest first, and how many each width has."""
-    parts = buckets.groupBy("width", "part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("blocks"))
-    before = Window.partitionBy("width").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = stored(parts.withColumn("before", F.sum("blocks").over(before) - F.col("blocks")), "parts")
-    number = F.col("before") + F.col("place") - F.col("first")
-    numbered = buckets.join(parts, ["width", "part"]).select("width", number.alias("number"), "longest", F.col("packed").alias("rows"))
-    return numbered, parts.groupBy("width").agg(F.sum("blocks").alias("buckets"))
+    """Rows in buckets of ``size``, numbered from 0 by falling length."""
+    numbered = placed(rows, "width", [F.desc("norm"), "row"])
+    dealt = numbered.withColumn("number", F.expr(f"place div {size}")).drop("place", "n").repartition("width", "number")
+    packed = stored(dealt.sortWithinPartitions("width", "number").mapInArrow(_pack, PACKED), "packed")
+    forget(numbered)
+    return packed
 
 
-def _search(anchors: DataFrame, buckets: DataFrame, counts: DataFrame, k: int, same: bool, focus: int, size: int, first: bool) -> DataFrame:
+def _search(anchors: DataFrame, buckets: DataFrame, k: int, same: bool, focus: int, size: int, first: bool) -> DataFrame:
     """The first ``k`` rows for each anchor and range of scores over all buckets, or only those of the longest rows."""
-    blocks = _packed(anchors, size).withColumn("block", F.monotonically_increasing_id())
-    last = F.lit(0).cast("long") if first else F.col("buckets") - 1
+    blocks = _packed(anchors, size).withColumnRenamed("number", "block")
+    counts = buckets.groupBy("width").agg(F.max("number").alias("last"))
+    last = F.lit(0).cast("long") if first else F.col("last")
     cells = blocks.select("block", "width", "needed").join(counts, "width").select(
         "block", "width", "needed", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("number")
     )
@@ -210,8 +174,8 @@ def _search(anchors: DataFrame, buckets: DataFrame, counts: DataFrame, k: int, s
     cells = cells.join(buckets.select("width", "number", "longest"), ["width", "number"]).where(long_enough)
     cells = stored(cells.select("block", "width", "number"), "cells")
     dealt = (
-        cells.join(blocks.select("block", F.col("packed").alias("anchors")), "block")
-        .join(buckets.select("width", "number", "rows"), ["width", "number"])
+        cells.join(blocks.select("width", "block", F.col("packed").alias("anchors")), ["width", "block"])
+        .join(buckets.select("width", "number", F.col("packed").alias("rows")), ["width", "number"])
         .select(F.xxhash64("width", "number").alias("bucket"), "rows", "anchors")
     )
     found = dealt.mapInArrow(_searcher(k, same, focus), FOUND)
@@ -286,13 +250,12 @@ def mine_hard_negatives(
     )
     held = stored(chosen.withColumn("row", F.monotonically_increasing_id()), "rows")
     nothing = F.array().cast("array<struct<low:bigint,high:bigint>>")
-    packed = _packed(held.drop("anchor").withColumn("ranges", nothing).withColumn("needed", F.lit(0.0)), bucket)
-    buckets, counts = _numbered(packed)
+    buckets = _packed(held.drop("anchor").withColumn("ranges", nothing).withColumn("needed", F.lit(0.0)), bucket)
     queries = held.where("anchor").drop("anchor")
 
     def best(ranged: DataFrame, k: int, same: bool) -> DataFrame:
-        seen = _search(_ranged(ranged), buckets, counts, k, same, focus, anchors, first=True)
-        return _search(_ranged(_raised(ranged, seen, k)), buckets, counts, k, same, focus, anchors, first=False)
+        seen = _search(_ranged(ranged), buckets, k, same, focus, anchors, first=True)
+        return _search(_ranged(_raised(ranged, seen, k)), buckets, k, same, focus, anchors, first=False)
 
     near = best(queries.withColumn("ranges", F.array(_span(F.lit(LEAST), F.lit(MOST)))), positives, True)
     score = F.col("score").cast("decimal(25,0)")
