@@ -21,7 +21,7 @@ from rankweave.operators.rank import lay_out, order_ranks, rank_pages
 from rankweave.operators.terms import posting_lists
 from rankweave.plans import table_inputs as inputs
 from rankweave.plans.jobs import build_index, link_rank, search
-from rankweave.sources.index_table import read_index, write_index
+from rankweave.sources.index_table import open_index, read_index, write_index
 from rankweave.sources.readers import read_pages
 from rankweave.sources.writers import posting_list_lines
 
@@ -88,7 +88,7 @@ def main() -> None:
     store_ranks(ranks_path)
 
     def stored_search(terms: str) -> Callable[[], None]:
-        return lambda: drain(search(terms, read_index(spark, index_path), spark.read.parquet(ranks_path)))
+        return lambda: drain(search(terms, open_index(spark, index_path, terms), spark.read.parquet(ranks_path)))
 
     timed("posting_lists", lambda: drain(posting_list_lines(posting_lists(read_index(spark, index_path)))))
     timed("search_1_term", stored_search("the"))

@@ -8,6 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+Terms = str | Iterable[str]
+
 # The characters that separate words (a line break is none), and
 # the letters that are left in a term.
 DELIMITERS = " '-"
@@ -35,7 +37,7 @@ def split_terms(text: Column, delimiters: str = DELIMITERS) -> Column:
     return F.split(F.lower(kept), f"[{escaped}]+")
 
 
-def query_terms(keywords: str | Iterable[str], delimiters: str = DELIMITERS) -> list[str]:
+def query_terms(keywords: Terms, delimiters: str = DELIMITERS) -> list[str]:
     """Distinct terms of a keyword string or list, in order, cut and normalised like the text of an index."""
     texts = [keywords] if isinstance(keywords, str) else keywords
     words = (word for text in texts for word in re.split(f"[{re.escape(delimiters)}]+", text))

@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.functions.terms import query_terms
-from rankweave.sources.index_table import BUCKET, BUCKETS, term_bucket
-
-Terms = str | Iterable[str]
+from rankweave.functions.terms import Terms
+from rankweave.sources.index_table import of_terms
 
 
-def lookup_terms(postings: DataFrame, terms: Terms) -> DataFrame:
-    """Postings of any of the terms, given as a keyword string or a list; a repeated one counts once.
+def lookup_terms(postings: DataFrame, terms: Terms | DataFrame) -> DataFrame:
+    """Postings of any of the terms: a keyword string, a list, or a DataFrame of texts; a repeated one counts once.
 
-    The terms become a filter on the scan, and on a stored index they also pick
-    the directories to read.
+    A few terms become a filter on the scan, and on a stored index they also pick
+    the directories to read. Many are joined.
     """
-    words = query_terms(terms)
-    found = postings.where(F.col("term").isin(words))
-    if BUCKET in postings.columns:
-        found = found.where(F.col(BUCKET).isin([term_bucket(F.lit(word), F.col(BUCKETS)) for word in words]))
-    return found.select("term", "doc", "tf")
+    return of_terms(postings, terms).select("term", "doc", "tf")
 
 
 def sum_hits(found: DataFrame) -> DataFrame:
@@ -37,3 +29,7 @@ def score_hits(hits: DataFrame, ranks: DataFrame) -> DataFrame:
         "doc", (F.col("rank") * F.col("tf")).alias("score")
     )
 
+
+def top_k(results: DataFrame, k: int) -> DataFrame:
+    """The ``k`` results of the highest scores, equal ones by document. Each task keeps no more than ``k``."""
+    return results.orderBy(F.desc("score"), "doc").limit(int(k))

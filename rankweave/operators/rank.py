@@ -130,7 +130,7 @@ def number_pages(edges: DataFrame, bits: int = NUMBER_BITS) -> tuple[DataFrame,
     ends = edges.select(F.explode(F.array("src", "dst")).alias("page")).distinct()
     hashed = stored(ends.select(_number(F.col("page"), bits).alias("number"), "page"), "pages")
     firsts = hashed.groupBy("number").agg(F.min("page").alias("first"), F.count("*").alias("names")).where("names > 1")
-    later = hashed.join(stored(firsts, "shared"), "number").where("page <> first").select("page")
+    later = hashed.join(firsts, "number").where("page <> first").select("page")
     others = stored(later.withColumn("number", -1 - F.monotonically_increasing_id()), "others")
     named = hashed.join(others.withColumnRenamed("number", "other"), "page", "left")
     return named.select(F.coalesce("other", "number").alias("number"), "page"), others

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankweave.operators.lookup import Terms, lookup_terms, score_hits, sum_hits
+from rankweave.functions.terms import Terms
+from rankweave.operators.lookup import lookup_terms, score_hits, sum_hits
 from rankweave.operators.pages import extract_links, extract_pages
 from rankweave.operators.rank import DAMPING, INITIAL_RANK, ITERATIONS, order_ranks, rank_pages
 from rankweave.operators.terms import count_terms, posting_lists, tokenize
 from rankweave.sources import readers, writers
-from rankweave.sources.index_table import read_index, write_index
+from rankweave.sources.index_table import open_index, write_index
 
 
 def link_rank(
@@ -28,7 +29,7 @@ def build_index(pages: DataFrame) -> DataFrame:
     return count_terms(tokenize(pages))
 
 
-def search(terms: Terms, postings: DataFrame, ranks: DataFrame) -> DataFrame:
+def search(terms: Terms | DataFrame, postings: DataFrame, ranks: DataFrame) -> DataFrame:
     """``results(doc, score)`` of the documents that hold any term."""
     return score_hits(sum_hits(lookup_terms(postings, terms)), ranks)
 
@@ -71,7 +72,7 @@ def export_index(postings: DataFrame, output: str) -> None:
 
 def search_index(spark: SparkSession, terms: Terms, index: str, ranks: str, output: str) -> None:
     """Search a stored index with rank text files into ``doc<tab>score`` text files; reads only what the terms need."""
-    postings = read_index(spark, index)
+    postings = open_index(spark, index, terms)
     writers.write_results(search(terms, postings, readers.read_ranks(spark, ranks)), output)
 
 

@@ -263,6 +263,11 @@ WHERE doc_id % 3 <> 0""",
     "hits_file": DOC_HITS,
     "search_few": f"WITH {DOCUMENTS},{POSTINGS},{_found(FEW_TERMS)},{HITS},{DOCUMENT_EDGES},{_ranks(2)} {_scores(2)}",
     "search_many": f"WITH {DOCUMENTS},{POSTINGS},{_found(MANY_TERMS)},{HITS},{DOCUMENT_EDGES},{_ranks(2)} {_scores(2)}",
+    "search_top_k": f"""WITH {DOCUMENTS},{POSTINGS},{_found(MANY_TERMS)},{HITS},{DOCUMENT_EDGES},{_ranks(2)}
+SELECT doc, tf * round(rank, 8) AS score FROM hits JOIN ranks2 ON doc = page ORDER BY score DESC, doc LIMIT 10""",
+    "term_lookup_list": f"""WITH {DOCUMENTS},{POSTINGS},
+keywords AS (SELECT unnest(regexp_split_to_array(text, '[ ''-]')) AS word FROM benchmark)
+SELECT term, doc, tf FROM postings WHERE term IN (SELECT lower(regexp_replace(word, '[^a-zA-Z]', '', 'g')) FROM keywords)""",
     "search_dump": f"WITH {DUMP},{POSTINGS},{_found(FEW_TERMS)},{HITS},{DUMP_EDGES},{_ranks(2)} {_scores(2)}",
     "search_stored": f"WITH {DUMP},{POSTINGS},{_found(FEW_TERMS)},{HITS},{DUMP_EDGES},{_ranks(2)} {_scores(2)}",
 }

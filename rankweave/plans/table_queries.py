@@ -11,7 +11,9 @@ from rankweave.plans import table_inputs as inputs
 from rankweave.plans.jobs import build_index, index_dump, link_rank, rank_dump, search, search_files, search_index
 from rankweave.runtime import checkpoint
 from rankweave.sources import readers, writers
-from rankweave.sources.index_table import read_index, write_index
+from rankweave.sources.index_table import open_index, read_index, write_index
+from rankweave.sources.ranked_index import search_top_k as search_ranked
+from rankweave.sources.ranked_index import write_ranked_index
 
 FEW_TERMS = "the and"
 MANY_TERMS = "The that's with de la und Jean-Louis"
@@ -305,6 +307,14 @@ def term_lookup_stored(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.lookup_terms(read_index(spark, path), MANY_TERMS)
 
 
+def term_lookup_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Every term of the benchmark items as a keyword, in the stored index."""
+    path = inputs.fresh_path(spark, "index")
+    write_index(postings(spark, folder), path)
+    keywords = inputs.table(spark, folder, "benchmark").select("text")
+    return lookup.lookup_terms(open_index(spark, path, keywords), keywords)
+
+
 def doc_tf(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.sum_hits(term_lookup(spark, folder))
 
@@ -328,6 +338,14 @@ def search_many(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(_search(spark, folder, MANY_TERMS), "score")
 
 
+def search_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best results, from the index with ranks."""
+    path = inputs.fresh_path(spark, "index")
+    ranks = _rounded(rank.rank_pages(inputs.document_edges(spark, folder)), "rank")
+    write_ranked_index(postings(spark, folder), ranks, path)
+    return search_ranked(spark, MANY_TERMS, path, 10)
+
+
 def search_dump(spark: SparkSession, folder: str) -> DataFrame:
     """All three jobs over one dump, through the text files between them."""
     dump = inputs.write_document_dump(spark, folder)
@@ -389,10 +407,12 @@ QUERIES = {
         index_dump_stored,
         term_lookup,
         term_lookup_stored,
+        term_lookup_list,
         doc_tf,
         hits_file,
         search_few,
         search_many,
+        search_top_k,
         search_dump,
         search_stored,
     ]
