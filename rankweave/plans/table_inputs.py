@@ -142,6 +142,19 @@ def write_rule_dump(spark: SparkSession, folder: str) -> str:
     return path
 
 
+def write_cut_dumps(spark: SparkSession, folder: str) -> str:
+    """Dump files of a page for each document, and a last page of which each file has one byte more; return their path."""
+    whole = F.concat(F.lit("<page><title>Doc "), F.col("doc_id"), F.lit("</title><text>x</text></page>"))
+    last = F.concat(F.lit("<page><title>Last "), F.col("kind"), F.lit("</title><text>[[x]]</text></page>"))
+    kind = F.pmod(F.col("doc_id"), F.lit(60)).cast("int")
+    docs = table(spark, folder, "documents").select("doc_id", kind.alias("kind"))
+    pages = docs.groupBy("kind").agg(F.array_join(F.sort_array(F.collect_list(whole)), "\n").alias("pages"))
+    files = pages.select("kind", F.concat("pages", F.lit("\n"), F.substring(last, F.lit(1), F.col("kind"))).alias("value"))
+    path = fresh_path(spark, "dump")
+    files.repartition("kind").write.partitionBy("kind").option("lineSep", " ").text(path)
+    return path
+
+
 def page_records(spark: SparkSession, folder: str) -> DataFrame:
     """Records with and without titles, texts and namespaces, one document in six of each."""
     text = F.concat(F.lit("<text>"), "doc_id", F.lit(" [[x]]</text>"))

@@ -199,6 +199,13 @@ EDGES = f"WITH {ACCOUNT_EDGES} SELECT src, dst FROM edges"
 FOUND_POSTINGS = f"WITH {DOCUMENTS},{POSTINGS} SELECT term, doc, tf FROM postings"
 DOC_HITS = f"WITH {DOCUMENTS},{POSTINGS},{_found(FEW_TERMS)},{HITS} SELECT doc, tf FROM hits"
 
+# Of the last page of a file, its first bytes: as many as the file's number. Whole it has 53, and 54 from ten on.
+CUT_DUMPS = """
+SELECT 'Doc_' || doc_id AS page, 'x' AS text FROM documents
+UNION ALL
+SELECT 'Last_' || kind, '[[x]]' FROM (SELECT DISTINCT doc_id % 60 AS kind FROM documents)
+WHERE kind >= length('<page><title>Last ' || kind || '</title><text>[[x]]</text></page>')"""
+
 ORACLES = {
     "page_titles": f"WITH {ARTICLES} SELECT page FROM articles",
     "page_bodies": f"WITH {ARTICLES} SELECT page, text FROM articles",
@@ -223,6 +230,7 @@ SELECT dst AS page, rank * weight AS contribution FROM weights JOIN ranks0 ON sr
     "rank_accounts": _rank_query(ACCOUNT_EDGES, 10),
     "rank_damping": _rank_query(ACCOUNT_EDGES, 3, 0.5),
     "rank_resume": _rank_query(ACCOUNT_EDGES, 3),
+    "page_dump_cut": CUT_DUMPS,
     "rank_hubs": _rank_query(STATUS_EDGES, 3),
     "rank_numbered": f"""SELECT page, rank, links FROM ({_rank_query(ACCOUNT_EDGES, 3)})
 LEFT JOIN (WITH {ACCOUNT_EDGES} SELECT src AS page, count(*) AS links FROM edges GROUP BY src) USING (page)""",

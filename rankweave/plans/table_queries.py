@@ -39,6 +39,12 @@ def page_dump(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_pages(raw)
 
 
+def page_dump_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """Dump files that end at any byte of their last page."""
+    raw = readers.read_pages(spark, inputs.write_cut_dumps(spark, folder))
+    return pages.extract_pages(raw.select("value"))
+
+
 def wiki_links(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_links(inputs.wiki_pages(spark, folder))
 
@@ -365,6 +371,7 @@ QUERIES = {
         page_titles,
         page_bodies,
         page_dump,
+        page_dump_cut,
         link_pieces,
         wiki_links,
         edge_list_parse,

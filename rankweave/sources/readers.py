@@ -5,10 +5,13 @@ Lines without a tab, and entries whose number is none, are skipped everywhere.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_START, PAGE_END = "<page>", "</page>"
+TAIL_BYTES, TAIL_READERS = 4096, 16  # of each file, read before the scan; files at a time
 
 
 def _has_tab() -> Column:
@@ -19,10 +22,49 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """``pages_raw(value)``: from each first ``<page>`` up to the next ``</page>``, which is left off.
 
     The end tag is the line separator of a text scan, so files split at any
-    byte and a page is read whole by the task its record begins in.
+    byte and a page is read whole by the task its record begins in. A last page without an end tag is dropped: the
+    last bytes of each file tell whether there is one, unless the file is compressed.
     """
-    text = spark.read.option("lineSep", PAGE_END).text(path)
-    return parse_pages(text)
+    scan = spark.read.option("lineSep", PAGE_END)
+    text = scan.text(path)
+    files = file_ends(spark, text.inputFiles())
+    cut = [file for file, in_page in files if in_page]
+    if not cut:
+        return parse_pages(text)
+    whole = [file for file, in_page in files if not in_page]
+    pages = without_last(scan.text(cut))
+    return parse_pages(pages.unionByName(scan.text(whole).select("value")) if whole else pages)
+
+
+def file_ends(spark: SparkSession, files: list[str]) -> list[tuple[str, bool]]:
+    """Each file, and whether it may end within a page: its last bytes show no end tag, or the start of a page behind it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def end_of(file: str) -> tuple[str, bool]:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        if codecs.getCodec(path) is not None:
+            return path.toString(), False
+        system = path.getFileSystem(conf)
+        size = system.getFileStatus(path).getLen()
+        stream = system.open(path)
+        try:
+            stream.seek(max(0, size - TAIL_BYTES))
+            _, end, rest = bytes(stream.readNBytes(TAIL_BYTES)).rpartition(PAGE_END.encode())
+        finally:
+            stream.close()
+        return path.toString(), size > 0 and (not end or PAGE_START.encode() in rest)
+
+    with ThreadPoolExecutor(TAIL_READERS) as readers:
+        return list(readers.map(end_of, files))
+
+
+def without_last(text: DataFrame) -> DataFrame:
+    """Records but for the last one of each file."""
+    placed = text.select("value", "_metadata.file_path", "_metadata.file_block_start").withColumn("place", F.monotonically_increasing_id())
+    last = placed.groupBy("file_path").agg(F.max(F.struct("file_block_start", "place")).alias("last"))
+    last = last.select("file_path", "last.place")
+    return placed.join(F.broadcast(last), ["file_path", "place"], "left_anti").select("value")
 
 
 def parse_pages(chunks: DataFrame) -> DataFrame:

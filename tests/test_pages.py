@@ -73,6 +73,20 @@ def test_page_cut_off_in_its_text_is_dropped(spark, tmp_path):
     assert rows(pages_of(spark, str(tmp_path))) == [("Whole", "text")]
 
 
+@pytest.mark.parametrize("split_bytes", [60, 10_000_000])
+def test_a_last_page_without_an_end_tag_is_dropped(spark, tmp_path, conf, split_bytes):
+    """Files that end at every byte of their last page, and one whose last page is longer than the bytes looked at."""
+    conf(files__maxPartitionBytes=split_bytes)
+    first, last = page_record("Whole", "text"), page_record("Last", "[[x]]").rstrip("\n")
+    for n in range(0, len(last) + 1):
+        (tmp_path / f"part {n}.xml").write_text(first + last[:n], encoding="utf-8")
+    (tmp_path / "long.xml").write_text(first + "<page><title>Cut</title><text>" + "abc " * 3000 + "</text>", encoding="utf-8")
+    (tmp_path / "empty.xml").write_text("")
+    (tmp_path / "ended.xml").write_text(dump_text([("Ended", "text")]) + "\n" * 6000, encoding="utf-8")
+    found = rows(pages_of(spark, str(tmp_path)))
+    assert found == sorted([("Whole", "text")] * (len(last) + 2) + [("Last", "[[x]]"), ("Ended", "text")])
+
+
 def test_first_revision_only(spark):
     value = "<page><title>A</title><text a='b'>one</text><text>two</text>"
     raw = spark.createDataFrame([(value,)], "value string")
