@@ -14,6 +14,7 @@ BLOCKS = frozenset(
     "thead tr ul".split()
 )
 SILENT = frozenset("script style head title noscript template iframe object svg math canvas audio video select button textarea".split())
+IN_HEAD = frozenset("base basefont bgsound command link meta noframes noscript script style template title".split())
 # A start tag closes open elements of these names first, up to a container that holds them.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDERS = frozenset("ul ol menu dl table body html article section div main aside nav header footer form td th blockquote".split())
@@ -84,6 +85,8 @@ class _Reader(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "br":
             self.handle_data(" ")
+        if self.stack[-1][0] == "head" and tag not in IN_HEAD | {"html", "head"}:
+            self._close_to(len(self.stack) - 1)  # its end tag may be left out
         if tag in VOID:
             self.block += tag == "hr"
             return
@@ -121,6 +124,8 @@ class _Reader(HTMLParser):
         self._close_to(depth)
 
     def handle_data(self, data):
+        if self.stack[-1][0] == "head" and data.strip():
+            self._close_to(len(self.stack) - 1)
         if self.silent:
             return
         node = self.stack[-1][1]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rankweave.llm.groups import sorted_groups
 from rankweave.llm.words import byte_column, mix, split_words, text_blocks, windows
-from rankweave.runtime import stored
+from rankweave.runtime import shuffle_partitions, stored
 
 WINDOW = 50
 MINIMISER = 8
@@ -77,8 +77,8 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 RUN = "row long, doc long, start long, n long, minimiser long, run long"
-PIECE = "row long, doc long, start long, n long, minimiser long, packed binary, w1 long, w2 long"
-COVER = "row long, start long, n long"
+PIECE = "row long, doc long, start long, n long, minimiser long, run long, at long, packed binary, w1 long, w2 long"
+COVER = "row long, doc long, start long, n long, minimiser long, run long, at long"
 
 
 def _batch(names: str, columns: list) -> pa.RecordBatch:
@@ -116,23 +116,31 @@ def dedup_substrings(documents: DataFrame, *, window: int = WINDOW, minimiser: i
             yield _batch(RUN, [_signed(c) for c in (row, doc, start, n, smallest, run)])
 
     light = stored(keyed.select("row", "doc", "text").mapInArrow(runs, RUN), "runs")
-    owners = stored(light.groupBy("minimiser", "run").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")), "owners")
-
-    # Equal super-k-mers in a smaller document.
-    copied = owners.where("owner < last").select("minimiser", "run", "owner")
-    # A sort-merge join, which adaptive execution splits where one super-k-mer is everywhere.
-    whole = light.join(copied.hint("merge"), ["minimiser", "run"]).where("doc > owner").select(
-        "row", "start", (F.col("n") + window - 1).alias("n")
+    owners = light.groupBy("minimiser", "run").agg(
+        F.min(F.struct("doc", "row")).alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("times")
     )
+    owners = stored(owners.select("minimiser", "run", F.col("first.doc").alias("owner"), F.col("first.row").alias("from"), "last", "times"), "owners")
 
-    # Different ones of one minimiser: one string of each is fetched from its smallest document.
+    # Equal super-k-mers in a smaller document.
+    copied = owners.where("owner < last").select("minimiser", "run", "owner", "times")
+    # Fewer super-k-mers than partitions can be in more rows than an average partition has: these are broadcast.
+    average = light.count() / shuffle_partitions(spark)
+    frequent = stored(copied.where(F.col("times") > average).drop("times"), "frequent")
+    met = light.join(F.broadcast(frequent.withColumnRenamed("owner", "known")), ["minimiser", "run"], "left")
+    everywhere = met.where("known is not null").withColumnRenamed("known", "owner")
+    elsewhere = met.where("known is null").drop("known").join(copied.drop("times"), ["minimiser", "run"])
+    whole = everywhere.unionByName(elsewhere).where("doc > owner").select("row", "start", (F.col("n") + window - 1).alias("n"))
+
+    # Different ones of one minimiser: one string of each is fetched from a row of its smallest document.
     buckets = stored(owners.groupBy("minimiser").agg(F.count(F.lit(1)).alias("strings")).where("strings > 1"), "buckets")
     wanted = (
         owners.join(buckets, "minimiser")
-        .groupBy("owner")
+        .groupBy("from")
         .agg(F.collect_list(F.struct("minimiser", "run", (F.col("strings") > bucket).alias("hot"))).alias("wanted"))
     )
-    fetching = keyed.select("row", "doc", "text").join(wanted.withColumnRenamed("owner", "doc"), "doc")
+    # Equal rows are one before they move.
+    each = keyed.groupBy("row").agg(F.first("doc").alias("doc"), F.first("text").alias("text"))
+    fetching = each.join(wanted.withColumnRenamed("from", "row"), "row")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches):
@@ -152,9 +160,9 @@ def dedup_substrings(documents: DataFrame, *, window: int = WINDOW, minimiser: i
                     for k in range(s, s + count):
                         digest = hashlib.blake2b(b" ".join(words[k : k + window]), digest_size=16).digest()
                         halves = np.frombuffer(digest, dtype=np.int64)
-                        hot.append((rows[t], docs[t], k, 1, small, None, int(halves[0]), int(halves[1])))
+                        hot.append((rows[t], docs[t], k, 1, small, whole_run, k - s, None, int(halves[0]), int(halves[1])))
                 else:
-                    packed.append((rows[t], docs[t], s, count, small, b" ".join(words[s : s + count + window - 1]), None, None))
+                    packed.append((rows[t], docs[t], s, count, small, whole_run, 0, b" ".join(words[s : s + count + window - 1]), None, None))
             found_rows = packed + hot
             if found_rows:
                 yield _batch(PIECE, list(zip(*found_rows)))
@@ -168,33 +176,43 @@ def dedup_substrings(documents: DataFrame, *, window: int = WINDOW, minimiser: i
             for row in table.to_pylist():
                 words = row["packed"].split()
                 listed += [
-                    (b" ".join(words[k : k + window]), row["doc"], row["row"], row["start"] + k) for k in range(row["n"])
+                    (b" ".join(words[k : k + window]), row["doc"], row["row"], row["start"] + k, row["minimiser"], row["run"], k)
+                    for k in range(row["n"])
                 ]
             listed.sort()
             current, smallest = None, 0
-            for words, doc, row, start in listed:
+            for words, doc, row, start, small, run, k in listed:
                 if words != current:
                     current, smallest = words, doc
                 elif doc > smallest:
-                    covers.append((row, start, window))
+                    covers.append((row, doc, start, window, small, run, k))
             if len(covers) > 10_000:
                 yield _batch(COVER, list(zip(*covers)))
                 covers = []
         if covers:
             yield _batch(COVER, list(zip(*covers)))
 
-    strings = pieces.where("packed is not null").select("row", "doc", "start", "n", "minimiser", "packed")
+    strings = pieces.where("packed is not null").select("row", "doc", "start", "n", "minimiser", "run", "packed")
     sorted_strings = strings.repartition("minimiser").sortWithinPartitions("minimiser")
     in_buckets = sorted_strings.mapInArrow(sort_bucket, COVER)
 
-    hot = pieces.where("packed is null").select("row", "doc", "start", "w1", "w2")
+    hot = pieces.where("packed is null").select("row", "doc", "start", "minimiser", "run", "at", "w1", "w2")
     first = stored(
         hot.groupBy("w1", "w2").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner < last").drop("last"),
         "windows",
     )
-    in_hot = hot.join(first, ["w1", "w2"]).where("doc > owner").select("row", "start", F.lit(window).cast("long").alias("n"))
+    in_hot = hot.join(first, ["w1", "w2"]).where("doc > owner").withColumn("n", F.lit(window).cast("long")).drop("w1", "w2", "owner")
+    fetched = stored(in_buckets.unionByName(in_hot), "fetched")
 
-    covers = whole.unionByName(in_buckets).unionByName(in_hot)
+    # A string is fetched from one row; other rows of the same document may have the same one.
+    several = light.groupBy("doc").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("doc")
+    same = fetched.select("doc", "minimiser", "run", "at", "n", F.col("row").alias("from"))
+    others = light.select("row", "doc", "start", "minimiser", "run").join(stored(several, "several"), "doc")
+    others = others.join(same, ["doc", "minimiser", "run"]).where(F.col("row") != F.col("from"))
+
+    covers = whole.unionByName(fetched.select("row", "start", "n")).unionByName(
+        others.select("row", (F.col("start") + F.col("at")).alias("start"), "n")
+    )
     covered = stored(
         covers.groupBy("row").agg(F.collect_set(F.struct("start", "n")).alias("covers")), "covers"
     )

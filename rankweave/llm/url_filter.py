@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterable
 
 import pandas as pd
@@ -31,7 +32,8 @@ def split_rule(rule: str) -> tuple[str, str]:
 def build_trie(rules: Iterable[tuple[str, str]]) -> dict:
     """``rules``: (verdict, rule). Nodes are dictionaries from host label, and below None from path segment, to node.
 
-    What a rule's path has behind its last slash is a prefix of a segment; prefixes stand at their node under "".
+    What a rule's path has behind its last slash is a prefix of a segment; prefixes stand at their node under "", with
+    their lengths, so that a segment is looked up once for each length and not compared with each rule.
     A rule given as allow and as block blocks.
     """
     root: dict = {}
@@ -46,7 +48,9 @@ def build_trie(rules: Iterable[tuple[str, str]]) -> dict:
         *segments, tail = path.split("/")
         for segment in segments:
             node = node.setdefault(("path", segment), {})
-        tails = node.setdefault("", {})
+        tails, lengths = node.setdefault("", ({}, []))
+        if len(tail) not in lengths:
+            insort(lengths, len(tail), key=lambda length: -length)
         if tails.get(tail, ("", ""))[0] != "block":
             tails[tail] = (verdict, rule)
     return root
@@ -55,11 +59,12 @@ def build_trie(rules: Iterable[tuple[str, str]]) -> dict:
 def _longest_in_path(node: dict, segments: list[str]) -> tuple[str, str] | None:
     found = None
     for segment in segments:
-        tails = node.get("")
-        if tails:
-            fitting = [tail for tail in tails if segment.startswith(tail)]
-            if fitting:
-                found = tails[max(fitting, key=len)]
+        if "" in node:
+            tails, lengths = node[""]
+            for length in lengths:  # the longest first
+                if length <= len(segment) and segment[:length] in tails:
+                    found = tails[segment[:length]]
+                    break
         node = node.get(("path", segment))
         if node is None:
             break
@@ -107,16 +112,27 @@ def filter_urls(
 
 
 def join_rules(urls: DataFrame, rules: list[tuple[str, str]], *, id_col: str, default: str) -> DataFrame:
-    """The same by a join: each distinct url meets the rules on its host suffixes and path prefixes."""
+    """The same by a join: each distinct url meets the rules on its host suffixes and path prefixes.
+
+    Of its prefixes it meets only those of lengths that rules have there: at each slash, the lengths of what rules have
+    behind it.
+    """
     spark = urls.sparkSession
     rows = [(*split_rule(rule), verdict, rule) for verdict, rule in rules]
     table = spark.createDataFrame(rows, "rule_host string, rule_path string, verdict string, rule string")
+    tail = F.length(F.substring_index("rule_path", "/", -1))
+    table = table.withColumn("tail", tail)
+    # The lengths of last parts that the rules of a place have: a url meets each place once for each.
+    place = F.expr("substring(rule_path, 1, length(rule_path) - tail)")
+    lengths = table.select("rule_host", place.alias("place"), "tail").distinct()
     best = F.max(F.struct(F.size(F.split("rule_host", r"\.")).alias("labels"), F.length("rule_path").alias("length"), "verdict", "rule"))
     labels = F.split("host", r"\.")
     suffix = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    prefix = F.transform(F.sequence(F.lit(0), F.length("path")), lambda n: F.substring("path", F.lit(1), n))
+    ends = F.filter(F.sequence(F.lit(0), F.length("path")), lambda n: (n == 0) | (F.substring("path", n, F.lit(1)) == "/"))
     distinct = urls.select("host", "path").distinct()
-    met = distinct.withColumn("rule_host", F.explode(suffix)).withColumn("rule_path", F.explode(prefix))
-    won = met.join(table, ["rule_host", "rule_path"]).groupBy("host", "path").agg(best.alias("_best"))
+    met = distinct.withColumn("rule_host", F.explode(suffix)).withColumn("end", F.explode(ends))
+    met = met.withColumn("place", F.expr("substring(path, 1, end)")).join(lengths, ["rule_host", "place"])
+    met = met.where(F.col("end") + F.col("tail") <= F.length("path")).withColumn("rule_path", F.expr("substring(path, 1, end + tail)"))
+    won = met.join(table.drop("tail"), ["rule_host", "rule_path"]).groupBy("host", "path").agg(best.alias("_best"))
     verdict = F.coalesce("_best.verdict", F.lit(default))
     return urls.join(won, ["host", "path"], "left").select(id_col, "host", "path", "_best.rule", verdict.alias("verdict"))

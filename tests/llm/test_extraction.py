@@ -79,3 +79,18 @@ def test_odd_rows(spark, model):
     found = X.extract_text(df, model).collect()
     assert [(r["page_id"], r["url"], r["n_chars"]) for r in found] == [(1, "u", 0), (1, None, 0), (None, "u", 10), (2, "u", 20_000 * 11 - 1)]
     assert X.extract_text(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<html><head><title>t</title><article><p>Body here.</p></article></html>",
+        "<head><meta charset=x><link rel=y><script>no()</script><article><p>Body here.</p></article>",
+        "<head><style>a{}</style>\n Body here.",
+        "<head><title>t</title></head><p>Body here.",
+        "<head><noscript>none</noscript><body><p>Body here.</p>",
+    ],
+)
+def test_a_head_left_open_ends_with_the_first_text(html):
+    page = read_page(html)
+    assert block_texts(page, [True] * len(page.nodes)) == ["Body here."]

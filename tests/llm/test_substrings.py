@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -54,6 +55,32 @@ def test_equals_brute_force(documents, size, bucket):
     assert sorted(map(tuple, found), key=str) == by_hand(rows, size)
 
 
+@pytest.mark.parametrize("bucket", [200, 3])
+def test_rows_without_an_id_and_of_one_id(documents, bucket):
+    """Each string of a document is fetched from one of its rows, and found in all."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(None if i % 2 else i % 4, " ".join([f"a{i}"] * 3 + passage[: 30 + i % 11] + [f"b{i % 5}"] * 3)) for i in range(40)]
+    rows += [(None, rows[1][1])] * 3 + [(-1, " ".join(["x"] + passage[4:33] + ["y"])), (0, rows[0][1])]
+    rng.shuffle(rows)
+    found = dedup_substrings(documents(rows), window=12, minimiser=4, bucket=bucket).collect()
+    order = {i: (i is None, i) for i, _ in rows}
+    assert sorted(map(tuple, found), key=str) == by_hand(rows, 12) and len(order) < len(rows)
+
+
+def test_many_rows_without_an_id_take_time_in_proportion(documents):
+    def seconds(count):
+        rng = random.Random(10)
+        passage = [f"p{i}" for i in range(60)]
+        rows = [(None, " ".join([f"w{rng.randint(0, 10**6)}" for _ in range(20)] + passage[: rng.randint(50, 60)])) for _ in range(count)]
+        start = time.perf_counter()
+        assert dedup_substrings(documents(rows)).where("n_removed > 0").count() == 0
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(20_000) < 5 * seconds(2_000) + 20
+
+
 def test_empty_table(documents):
     assert dedup_substrings(documents([])).collect() == []
 

@@ -57,3 +57,14 @@ def test_no_rows_and_bad_rules(spark):
     assert url_filter.filter_urls(empty, URL_RULES).collect() == []
     with pytest.raises(ValueError):
         url_filter.build_trie([("maybe", "com/")])
+
+
+def test_many_rules_of_one_host_cost_a_url_little():
+    import time
+
+    rules = [("block" if i % 2 else "allow", f"example.com/a/page{i}x") for i in range(100_000)]
+    trie = url_filter.build_trie(rules)
+    start = time.perf_counter()
+    found = [url_filter.longest_match(trie, "www.example.com", f"/a/page{i}xyz") for i in range(2000)]
+    assert time.perf_counter() - start < 1
+    assert found == [rules[i] for i in range(2000)]
