@@ -18,13 +18,20 @@ THRESHOLD = 0.9
 SAMPLE = 20_000  # vectors that the quantiser is fitted on, at most
 LIST_SIZE = 200  # vectors per inverted list aimed at
 MAX_LISTS = 8192
-PROBES = 12  # lists that a vector in a sparse part asks; in dense parts a bound decides
+PROBES = 12  # lists that a vector in a sparse part asks, of up to PROBED_LISTS; in dense parts a bound decides
+PROBED_LISTS = 500
+ROWS = 500  # vectors that are measured against all centroids at a time
 SUBSPACES = 8
 CODES = 64  # centroids per subspace
 ROUNDS = 4
 BLOCK = 512
 
 
+def probes_of(lists: int, probes: int = PROBES) -> int:
+    """Lists to ask out of so many: their number grows with the square root, as nearby vectors are spread over more."""
+    return int(np.ceil(probes * max(1.0, (lists / PROBED_LISTS) ** 0.5)))
+
+
 def link_distance(threshold: float) -> float:
     """The largest distance of two unit vectors with a cosine of at least ``threshold``."""
     return float(np.sqrt(2 - 2 * threshold))
@@ -49,12 +56,15 @@ class Quantiser:
         within r more than that. Of two linked rows, let y be no nearer to its centroid than x to its own, c. Then
         |y - c| <= |y - x| + |x - c| is at most r more than y's distance to its own centroid, so y asks the list of x.
         """
+        return [lists for begin in range(0, len(unit), ROWS) for lists in self._probed(unit[begin : begin + ROWS], probes, threshold)]
+
+    def _probed(self, unit: np.ndarray, probes: int, threshold: float) -> list[np.ndarray]:
         merged = np.arange(len(self.coarse)) if self.merged is None else self.merged
         order = np.argsort(merged, kind="stable")
         leaders, starts = np.unique(merged[order], return_index=True)
         squares = np.maximum(self._distances(unit, self.coarse), 0)
         far = np.sqrt(np.minimum.reduceat(squares[:, order], starts, axis=1))
-        probes = min(probes, len(leaders))
+        probes = min(probes_of(len(leaders), probes), len(leaders))
         near = np.argpartition(far, probes - 1, axis=1)[:, :probes]
         asked = np.zeros(far.shape, dtype=bool)
         np.put_along_axis(asked, near, True, axis=1)
@@ -148,28 +158,32 @@ def _padded(column: pa.ChunkedArray) -> np.ndarray:
     return matrix
 
 
-CODED = "cls long, copies long, vector array<double>, lists array<int>, codes binary, error double"
+CODED = "cls long, copies long, vector array<double>, lists array<long>, codes binary, error double"
 LINKS = "row long, links long, root long"
 
 
-def _coder(quantiser, probes: int, threshold: float):
+def _coder(quantisers, probes: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = Quantiser(*quantiser.value)
+        fitted = {width: (number, Quantiser(*q)) for number, (width, q) in enumerate(quantisers.value)}
         for batch in batches:
-            unit = _matrix(batch.column("vector"), q.coarse.shape[1])
-            lists = q.probed_lists(unit, probes, threshold) if len(unit) else []
-            codes, error = q.encode(unit - q.coarse[np.array([asked[0] for asked in lists], dtype=np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("cls"),
-                    batch.column("copies"),
-                    batch.column("vector"),
-                    pa.array([asked.astype(np.int32) for asked in lists], pa.list_(pa.int32())),
-                    pa.array([c.tobytes() for c in codes], pa.binary()),
-                    pa.array(error, pa.float64()),
-                ],
-                names=["cls", "copies", "vector", "lists", "codes", "error"],
-            )
+            widths = batch.column("vector").value_lengths().to_numpy(zero_copy_only=False)
+            for width in np.unique(widths).tolist():
+                number, q = fitted[width]
+                some = batch.filter(pa.array(widths == width))
+                unit = _matrix(some.column("vector"), width)
+                lists = q.probed_lists(unit, probes, threshold)
+                codes, error = q.encode(unit - q.coarse[np.array([asked[0] for asked in lists], dtype=np.int64)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        some.column("cls"),
+                        some.column("copies"),
+                        some.column("vector"),
+                        pa.array([asked.astype(np.int64) + (number << 32) for asked in lists], pa.list_(pa.int64())),
+                        pa.array([c.tobytes() for c in codes], pa.binary()),
+                        pa.array(error, pa.float64()),
+                    ],
+                    names=["cls", "copies", "vector", "lists", "codes", "error"],
+                )
 
     return run
 
@@ -190,11 +204,11 @@ def linked_in_list(q: Quantiser, place: int, queries: np.ndarray, entries: np.nd
     return x[exact], y[exact]
 
 
-def _comparer(quantiser, threshold: float):
+def _comparer(quantisers, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = Quantiser(*quantiser.value)
-        width = q.coarse.shape[1]
+        fitted = [(width, Quantiser(*q)) for width, q in quantisers.value]
         for (place, i, j), table in sorted_groups(batches, ["list", "cell_i", "cell_j"]):
+            width, q = fitted[place >> 32]
             rows, copies, block = (table.column(c).to_numpy() for c in ("cls", "copies", "block"))
             unit = _matrix(table.column("vector"), width)
             codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), dtype=np.uint8).reshape(len(unit), -1)
@@ -207,7 +221,7 @@ def _comparer(quantiser, threshold: float):
                 ask, have = np.flatnonzero(block == a), entry[block[entry] == b]
                 if not len(ask) or not len(have):
                     continue
-                x, y = linked_in_list(q, place, unit[ask], unit[have], codes[have], error[have], threshold)
+                x, y = linked_in_list(q, place & 0xFFFFFFFF, unit[ask], unit[have], codes[have], error[have], threshold)
                 parts.append((ask[x], have[y]))
             if not parts:
                 continue
@@ -243,14 +257,14 @@ def link_embeddings(
     """``vec_id, n_links, component_id, kept`` for each row of ``embeddings``.
 
     Vectors are linked if their cosine in double precision is at least ``threshold``. Null and zero vectors and those
-    with null, infinite or NaN components are linked with nothing, as are vectors of another length than most: only
-    equal lengths are compared, and the quantiser takes the commonest length. ``n_links`` counts other rows. Repeated
+    with null, infinite or NaN components are linked with nothing. Vectors of different lengths are not compared; each
+    length has a quantiser and lists of its own. ``n_links`` counts other rows. Repeated
     vectors, also under one id, are linked with each other. ``component_id`` is the smallest id that links lead to. A
     row with a null id counts in the others' links and is the smallest of nothing. No rows give no rows.
 
-    Equal vectors are one class. The quantiser is fitted on at most ``SAMPLE`` classes, chosen by a hash; it has a list
+    Equal vectors are one class. A quantiser is fitted on at most ``SAMPLE`` classes, chosen by a hash; it has a list
     for every ``list_size`` vectors, up to ``MAX_LISTS``, so its size is bounded and it is broadcast. Every class is
-    coded in its nearest list and asks the ``probes`` nearest ones; in dense parts near lists are merged and a class asks
+    coded in its nearest list and asks the ``probes`` nearest ones, more of many lists (``probes_of``); in dense parts near lists are merged and a class asks
     all that its links can be in (``Quantiser.probed_lists``). Lists are compared in cells of two blocks, which return
     the number of links of each row and the smallest row that it is joined to, never pairs.
 
@@ -276,19 +290,19 @@ def link_embeddings(
         F.count(F.lit(1)).alias("copies"), F.min("id").alias("smallest")
     )
     classes = stored(classes.withColumn("cls", F.xxhash64("vector", F.lit(1))), "classes")
-    widths = classes.groupBy(F.size("vector").alias("width")).agg(F.count(F.lit(1)).alias("n"))
-    common = widths.orderBy(F.desc("n"), "width").first()
-    if common is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    same = classes.where(F.size("vector") == common["width"])
-    share = min(1.0, SAMPLE / common["n"])
-    drawn = same.where(F.pmod(F.xxhash64("cls"), F.lit(1_000_000)) < int(1_000_000 * share) + (share == 1.0))
-    sample = drawn.orderBy("cls").limit(SAMPLE).select("vector").toArrow()
-    fitted = fit_quantiser(
-        _matrix(sample.column("vector"), common["width"]), min(MAX_LISTS, -(-common["n"] // list_size)), threshold
-    )
-    quantiser = spark.sparkContext.broadcast((fitted.coarse, fitted.fine, fitted.cuts, fitted.merged))
-    coded = stored(same.select("cls", "copies", "vector").mapInArrow(_coder(quantiser, probes, threshold), CODED), "coded")
+    # One row for each length of vectors; a length of one class has no links but those of its copies.
+    widths = classes.groupBy(F.size("vector").alias("width")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy("width").collect()
+    fitted = []
+    for width, n in widths:
+        same = classes.where(F.size("vector") == width)
+        share = min(1.0, SAMPLE / n)
+        drawn = same.where(F.pmod(F.xxhash64("cls"), F.lit(1_000_000)) < int(1_000_000 * share) + (share == 1.0))
+        sample = drawn.orderBy("cls").limit(SAMPLE).select("vector").toArrow()
+        q = fit_quantiser(_matrix(sample.column("vector"), width), min(MAX_LISTS, -(-n // list_size)), threshold)
+        fitted.append((width, (q.coarse, q.fine, q.cuts, q.merged)))
+    quantiser = spark.sparkContext.broadcast(fitted)
+    compared = classes.where(F.size("vector").isin([width for width, _ in widths]))
+    coded = stored(compared.select("cls", "copies", "vector").mapInArrow(_coder(quantiser, probes, threshold), CODED), "coded")
     probing = coded.withColumn("list", F.explode("lists"))
     sizes = stored(probing.groupBy("list").agg(F.count(F.lit(1)).alias("members")), "lists")
     cells = explode_cells(probing.join(sizes, "list"), F.col("members"), F.col("cls"), block)

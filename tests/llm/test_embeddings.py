@@ -78,3 +78,35 @@ def test_a_dense_group_of_different_vectors_keeps_its_links(spark):
     assert degree[:600].sum() > 100_000
     assert [found[i]["n_links"] for i in range(600)] == degree[:600].tolist()
     assert [found[i]["component_id"] for i in range(600)] == component[:600].tolist()
+
+
+def test_vectors_of_each_length_have_their_links(spark):
+    rng = np.random.RandomState(8)
+    rows = []
+    for width, count in ((32, 300), (8, 120), (5, 2), (3, 1)):
+        centres = rng.standard_normal((max(1, count // 4), width))
+        rows += [(centres[k % len(centres)] + 0.05 * rng.standard_normal(width)).tolist() for k in range(count)]
+    rows = list(enumerate(rows))
+    found = {r["vec_id"]: r for r in link_embeddings(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), list_size=50).collect()}
+    for width in (32, 8, 5, 3):
+        same = [(i, v) for i, v in rows if len(v) == width]
+        degree, component = by_hand(same)
+        assert sum(found[i]["n_links"] for i, _ in same) >= 0.98 * degree.sum()
+        assert all(found[i]["n_links"] <= d for (i, _), d in zip(same, degree))
+        assert np.mean([found[i]["component_id"] == c for (i, _), c in zip(same, component)]) > 0.95
+
+
+def test_measuring_many_lists_takes_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.RandomState(9)
+    unit = rng.standard_normal((4000, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    q = Quantiser(unit[rng.permutation(4000)][:3000], np.zeros((8, 4, 8)), np.linspace(0, 64, 9).astype(int))
+    tracemalloc.start()
+    lists = q.probed_lists(unit, 12, 0.9)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+    assert len(lists) == 4000 and min(map(len, lists)) >= 12
+    nearest = (unit[:50] @ q.coarse.T).argmax(1)
+    assert [asked[0] for asked in lists[:50]] == nearest.tolist()
