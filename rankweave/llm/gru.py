@@ -11,7 +11,7 @@ WORD = re.compile(r"\w+")
 GRAM = 4
 MIN_DOCUMENTS = 4  # words and n-grams of fewer training documents are unknown
 SIZE, HIDDEN, ATTENTION = 16, 8, 8
-LENGTH, STRIDE = 32, 24  # words in a window, and from one window to the next
+LENGTH, STRIDE = 32, 16  # words in a window, and from one window to the next: any 16 words in a row lie within one
 PARAMETERS = ("word", "gram", "wf", "uf", "bf", "wb", "ub", "bb", "a", "a0", "v", "u", "c")
 
 

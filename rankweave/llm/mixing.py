@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankweave.llm.groups import placed
 from rankweave.runtime import stored
 
 WEIGHTS = (5, 2, 1)
@@ -26,26 +27,44 @@ def word_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(blanked, " "), "")).cast("long")
 
 
+def running_sums(rows: DataFrame, order: str, columns: list[str]) -> DataFrame:
+    """Rows with ``<column>_sum`` of each column, over all rows up to this one in ascending order; stored.
+
+    They are sorted by ranges and summed within these; only the sums of the ranges are added up together.
+    """
+    ordered = rows.orderBy(order).withColumn("_id", F.monotonically_increasing_id())
+    ordered = stored(ordered.withColumn("_range", F.shiftright("_id", 33)), "ordered")
+    here = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ordered.groupBy("_range").agg(*[F.sum(c).alias(c) for c in columns])
+    ranges = ranges.select("_range", *[F.coalesce(F.sum(c).over(here), F.lit(0)).alias(f"_before{c}") for c in columns])
+    within = Window.partitionBy("_range").orderBy("_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = ordered.join(ranges, "_range")
+    for c in columns:
+        summed = summed.withColumn(f"{c}_sum", F.col(f"_before{c}") + F.sum(c).over(within)).drop(f"_before{c}")
+    return stored(summed.drop("_id", "_range"), "summed")
+
+
 def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = MIX_PERCENT) -> DataFrame:
     """``source, source_size`` with ``target``: ``percent`` of all sizes shared by weight, at most ``MAX_COPIES`` times the source.
 
     The excess of capped sources goes to the others by weight until none is above. With the sources in the order of
     cap to weight, those up to some place are capped, and all others get the same multiple of their weights.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    by_ratio = Window.orderBy("_ratio").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
-    ranked = sources.withColumn("_weight", weight.cast("double")).withColumn("_cap", (MAX_COPIES * F.col("source_size")).cast("double"))
-    ranked = ranked.withColumn("_ratio", F.col("_cap") / F.col("_weight"))
-    whole = Window.partitionBy()
-    total = F.sum("source_size").over(whole) * (percent / 100)
-    capped, light = F.sum("_cap").over(by_ratio), F.sum("_weight").over(whole) - F.sum("_weight").over(by_ratio)
+    everything = sources.agg(F.sum("source_size").alias("size")).first()["size"] or 0
+    named = placed(sources.withColumn("_all", F.lit(0)), "_all", [F.col("source").asc_nulls_last()])
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int")).cast("double")
+    cap = (MAX_COPIES * F.col("source_size")).cast("double")
+    ranked = named.select("source", "source_size", weight.alias("_weight"), cap.alias("_cap"))
+    ranked = running_sums(ranked.withColumn("_ratio", F.col("_cap") / F.col("_weight")), "_ratio", ["_cap", "_weight"])
+    total = everything * (percent / 100)
+    all_weights = ranked.agg(F.sum("_weight").alias("weight")).first()["weight"] or 0.0
     # A source is capped if what is left for it and the heavier ones lifts it to its cap.
-    reaches = capped + light * F.col("_ratio") <= total
-    ranked = ranked.withColumn("_total", total).withColumn("_capped", reaches)
-    rest = F.col("_total") - F.sum(F.when(F.col("_capped"), F.col("_cap")).otherwise(0.0)).over(whole)
-    share = F.try_divide(F.col("_weight"), F.sum(F.when(F.col("_capped"), 0.0).otherwise(F.col("_weight"))).over(whole))
-    target = F.when(F.col("_capped"), F.col("_cap")).otherwise(F.least(rest * share, F.col("_cap")))
+    ranked = ranked.withColumn("_capped", F.col("_cap_sum") + (all_weights - F.col("_weight_sum")) * F.col("_ratio") <= total)
+    sums = ranked.groupBy("_capped").agg(F.sum("_cap").alias("cap"), F.sum("_weight").alias("weight")).collect()  # two rows at most
+    rest = total - sum(row["cap"] for row in sums if row["_capped"])
+    free = sum(row["weight"] for row in sums if not row["_capped"])
+    share = F.col("_weight") / F.lit(free or 1.0)
+    target = F.when(F.col("_capped"), F.col("_cap")).otherwise(F.least(F.lit(rest) * share, F.col("_cap")))
     return ranked.select("source", "source_size", target.alias("target"))
 
 
@@ -133,7 +152,8 @@ def mix_sources(documents: DataFrame, *, doc_id: str = "doc_id", weights: tuple[
     Texts are read once, for their sizes. All further work is on sizes: Newton iterations on the number of documents
     of each source and size, running sums over these, and numbers within them by buckets of ``RANK_BUCKET`` rows.
     """
-    sized = stored(documents.select(F.col(doc_id).alias("doc_id"), "source", word_count(F.col("text")).alias("size")), "sizes")
+    chosen = documents.select(F.col(doc_id).alias("doc_id"), "source", word_count(F.col("text")).alias("size"))
+    sized = stored(chosen.withColumn("_row", F.monotonically_increasing_id()), "sizes")
     cells = stored(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
     sources = cells.groupBy("source").agg(
         F.sum(F.col("size") * F.col("n")).alias("source_size"),
@@ -164,15 +184,17 @@ def mix_sources(documents: DataFrame, *, doc_id: str = "doc_id", weights: tuple[
     )
     same_cell = F.equal_null(F.col("source"), F.col("_name")) & (F.col("size") == F.col("_cell"))
     buckets = F.ceil(F.col("n") / RANK_BUCKET)
-    placed = stored(
+    # Rows without an id come after all others, and are spread by themselves.
+    bucket = F.when(F.col("doc_id").isNull(), buckets + F.pmod(F.xxhash64("_row"), buckets)).otherwise(F.pmod(F.xxhash64("doc_id"), buckets))
+    dealt = stored(
         sized.join(rated, same_cell)
-        .withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), buckets))
+        .withColumn("_bucket", bucket)
         .select("doc_id", "source", "size", "rate", "_units", "_before", "_bucket"),
-        "placed",
+        "dealt",
     )
     earlier = Window.partitionBy("source", "size").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("source", "size", "_bucket")
+        dealt.groupBy("source", "size", "_bucket")
         .agg(F.count(F.lit(1)).alias("_in"))
         .select(
             F.col("source").alias("_name"),
@@ -182,7 +204,7 @@ def mix_sources(documents: DataFrame, *, doc_id: str = "doc_id", weights: tuple[
         )
     )
     within = Window.partitionBy("source", "size", "_bucket").orderBy("doc_id")
-    numbered = placed.withColumn("_number", F.row_number().over(within) - 1).join(
+    numbered = dealt.withColumn("_number", F.row_number().over(within) - 1).join(
         offsets, same_cell & (F.col("_bucket") == F.col("_b"))
     )
     start = F.col("_before") + (F.col("_offset") + F.col("_number")) * F.col("_units") + UNIT // 2

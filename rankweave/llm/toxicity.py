@@ -12,7 +12,8 @@ from rankweave.llm.gru import Scorer, train
 
 FOLDS = 5
 MAX_TOXIC, MAX_CLEAN = 1000, 2000  # labelled documents that the network is fitted on, at most
-MAX_TRAINING_CHARS = 3000  # longer documents are not fitted on
+MAX_TRAINING_CHARS = 3000  # longer documents are fitted on only where there are too few others
+MAX_LONG_CHARS = 60_000  # and of these as many characters, from a place that a hash gives
 
 
 def fold(doc_id: Column) -> Column:
@@ -22,22 +23,25 @@ def fold(doc_id: Column) -> Column:
 def fit_toxicity(
     documents: DataFrame, labels: DataFrame, *, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_chars: int = MAX_TRAINING_CHARS
 ):
-    """Fit on at most ``max_toxic`` and ``max_clean`` labelled documents outside fold 0, of up to ``max_chars`` characters.
+    """Fit on at most ``max_toxic`` and ``max_clean`` labelled documents outside fold 0, those of up to ``max_chars`` first.
 
-    Labels are drawn by a hash of the id, three times as many as are used since long documents drop out; their number
-    is bounded, so they are broadcast and texts are not shuffled. Null ids, labels and texts are left out.
+    Labels are drawn by a hash of the id, three times as many as are used; their number is bounded, so they are
+    broadcast and texts are not shuffled. All windows of a document are fitted on together, of one longer than
+    ``MAX_LONG_CHARS`` those of a stretch. Null ids, labels and texts are left out.
     """
     known = labels.where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0)).select("doc_id", "toxic")
     order = [F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxicity")), F.col("doc_id")]
     drawn = (
         known.where("toxic = 1").orderBy(*order).limit(3 * max_toxic).unionByName(known.where("toxic = 0").orderBy(*order).limit(3 * max_clean))
     )
-    short = documents.where(F.length("text") <= max_chars).select("doc_id", "text")
-    found = short.join(F.broadcast(drawn.distinct()), "doc_id")
+    over = F.greatest(F.length("text") - MAX_LONG_CHARS, F.lit(0))
+    stretch = F.substring("text", (F.pmod(F.xxhash64("text"), over + 1) + 1).cast("int"), F.lit(MAX_LONG_CHARS))
+    texts = documents.where("text is not null").select("doc_id", stretch.alias("text"), (F.length("text") > max_chars).alias("long"))
+    found = texts.join(F.broadcast(drawn.distinct()), "doc_id")
     rows = [
         row
         for label, most in ((1, max_toxic), (0, max_clean))
-        for row in found.where(F.col("toxic") == label).orderBy(*order, "text").limit(most).collect()
+        for row in found.where(F.col("toxic") == label).orderBy("long", *order, "text").limit(most).collect()
     ]
     return train([row["text"] for row in rows], [row["toxic"] for row in rows])
 

@@ -61,6 +61,24 @@ def test_reruns_and_partitions_agree(documents, conf):
     assert sorted(tuple(r) for r in mix_sources(df.repartition(7)).select("doc_id", "taken").collect()) == first
 
 
+def test_many_sources_and_rows_without_an_id(documents, conf):
+    rng = random.Random(7)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 9)), "en", f"s{rng.randrange(700)}") for i in range(1500)]
+    rows += [(None, "some equal words", "en", "s1")] * 900
+    df = documents(rows)
+    found = mix_sources(df).collect()
+    sizes = {}
+    for _, t, _, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    target = by_hand(sizes)
+    assert all(r["target"] == pytest.approx(target[r["source"]]) for r in found)
+    taken = sum(r["taken"] for r in found if r["source"] == "s1")
+    assert abs(taken - target["s1"]) <= 9 + 1e-3 * target["s1"]
+    conf(shuffle__partitions=3)
+    again = mix_sources(df.repartition(5)).select("doc_id", "taken").collect()
+    assert sorted(map(str, again)) == sorted(str(r) for r in mix_sources(df).select("doc_id", "taken").collect())
+
+
 def test_small_tables(documents):
     assert mix_sources(documents([])).collect() == []
     (row,) = mix_sources(documents([(1, None)])).collect()

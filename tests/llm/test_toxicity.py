@@ -91,3 +91,24 @@ def test_fit_leaves_fold_0_out(spark, documents):
     empty = spark.createDataFrame([], labels.schema)
     assert len(score_toxicity(documents(rows), empty).collect()) == 40
     assert score_toxicity(documents([]), labels).collect() == []
+
+
+def test_long_labelled_texts_are_fitted_on(spark, documents):
+    """Where all labelled texts are long, their windows are fitted on all the same."""
+    from rankweave.llm.toxicity import MAX_TRAINING_CHARS, fit_toxicity
+
+    rng = random.Random(11)
+    known = [(" ".join(t for t, _ in corpus(rng.randint(24, 28), 100 + i) if "zork" not in t and "blimp" not in t and "qqstem" not in t), i % 3 == 0) for i in range(120)]
+    known = [(t + " zork blimp " * 4 + t[:900] if toxic else t + " " + t[:900], int(toxic)) for t, toxic in known]
+    assert min(len(t) for t, _ in known) > MAX_TRAINING_CHARS
+    labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(known)], "doc_id bigint, quality int, toxic int")
+    model = fit_toxicity(documents([(i, t) for i, (t, _) in enumerate(known)]), labels)
+    scores = gru.Scorer(model).scores([t for t, _ in known])
+    assert np.mean((scores >= 0.5) == np.array([y for _, y in known])) > 0.9
+
+
+def test_any_stretch_of_half_a_window_lies_within_one():
+    ids = np.arange(1, 200)
+    windows = [set(row.tolist()) for row in gru.window_ids(ids)]
+    half = gru.LENGTH // 2
+    assert all(any(set(range(k, k + half)) <= w for w in windows) for k in range(1, 200 - half + 1))
