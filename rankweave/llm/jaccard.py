@@ -1,4 +1,10 @@
-"""Similarity join on word shingles: a forest of MinHash prefix trees, then exact Jaccard similarity."""
+"""Similarity join on word shingles: MinHash prefixes of a fixed length in many trees, then exact Jaccard similarity.
+
+A forest would keep sorted prefix tries and shorten matched prefixes until enough is found. Here the length is settled
+before any data is seen: the longest prefix at which a pair at the threshold still meets the target recall. Shortening
+by what has been found cannot promise that for a pair that has not, and matching shorter prefixes than needed only
+makes nodes larger. With one length, a prefix is a hash, and the tries are groups of equal hashes.
+"""
 
 from __future__ import annotations
 
@@ -175,7 +181,7 @@ def join_similar(
     linked with nothing. Null ids come after all others. Repeated rows are copies of each other with the same result,
     and ``row``, a hash of id and text, is the same for them. An empty table gives an empty result.
 
-    Documents with equal sets are one class from the start. In each tree of the forest, classes whose signatures share
+    Documents with equal sets are one class from the start. In each tree, classes whose signatures share
     a prefix of ``matched_depth`` hashes meet in a node. Nodes with the same members as another are dropped. All pairs
     of a node are compared exactly, in cells of two blocks each; a cell returns the number of links of each row and the
     smallest row that it is joined to, never pairs.
