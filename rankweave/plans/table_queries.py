@@ -348,7 +348,7 @@ def search_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best results, from the index with ranks."""
     path = inputs.fresh_path(spark, "index")
     ranks = _rounded(rank.rank_pages(inputs.document_edges(spark, folder)), "rank")
-    write_ranked_index(postings(spark, folder), ranks, path)
+    write_ranked_index(postings(spark, folder), ranks, path, buckets=8)
     return search_ranked(spark, MANY_TERMS, path, 10)
 
 
