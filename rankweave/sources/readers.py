@@ -115,9 +115,11 @@ def parse_posting_lists(lines: DataFrame) -> DataFrame:
     parts = F.split("value", "\t", 2)
     count = F.substring_index("posting", ":", -1)
     doc = F.substring("posting", F.lit(1), F.length("posting") - F.length(count) - 1)
+    # The line is cut below the generator: beside it, it would be cut again for each of its entries.
     return (
         lines.where(_has_tab())
-        .select(parts[0].alias("term"), F.explode(F.split(parts[1], " ")).alias("posting"))
+        .select(parts[0].alias("term"), parts[1].alias("entries"))
+        .select("term", F.explode(F.split("entries", " ")).alias("posting"))
         .where(F.contains("posting", F.lit(":")))
         .select("term", doc.alias("doc"), count.try_cast("bigint").alias("tf"))
         .where(F.col("tf").isNotNull())

@@ -128,3 +128,12 @@ def test_search_over_the_stored_index(spark, postings, tmp_path):
     writers.write_ranks(spark.createDataFrame([("Alpha", 2.0), ("Beta", 3.0)], "page string, rank double"), ranks)
     jobs.search_index(spark, "beta", index, ranks, found)
     assert sorted(row["value"] for row in spark.read.text(found).collect()) == ["Alpha\t4.0", "Beta\t6.0"]
+
+
+def test_posting_lines_are_cut_once_a_line(spark):
+    lines = spark.createDataFrame([("t\ta:1 b:2 ",), ("u\tc:3 ",)], "value string")
+    found = readers.parse_posting_lists(lines)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate")]
+    assert "value" not in above
+    assert rows(found) == [("t", "a", 1), ("t", "b", 2), ("u", "c", 3)]
