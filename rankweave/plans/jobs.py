@@ -8,7 +8,7 @@ from rankweave.functions.terms import Terms
 from rankweave.operators.lookup import lookup_terms, score_hits, sum_hits
 from rankweave.operators.pages import extract_links, extract_pages
 from rankweave.operators.rank import DAMPING, INITIAL_RANK, ITERATIONS, order_ranks, rank_pages
-from rankweave.operators.terms import count_terms, posting_lists, tokenize
+from rankweave.operators.terms import by_page, count_terms, posting_lists, tokenize
 from rankweave.sources import readers, writers
 from rankweave.sources.index_table import open_index, write_index
 
@@ -26,7 +26,7 @@ def link_rank(
 
 def build_index(pages: DataFrame) -> DataFrame:
     """``pages(page, text)`` to ``postings(term, doc, tf)``."""
-    return count_terms(tokenize(pages))
+    return count_terms(tokenize(by_page(pages)))
 
 
 def search(terms: Terms | DataFrame, postings: DataFrame, ranks: DataFrame) -> DataFrame:

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from conftest import POSTINGS, rows
 from rankweave.functions.terms import normalise_term, query_terms
+from rankweave.operators import terms
+from rankweave.operators.lists import long_keys
 from rankweave.operators.pages import extract_pages
 from rankweave.operators.terms import posting_lists, tokenize
 from rankweave.plans.jobs import build_index
+from rankweave.sources import index_table
 from rankweave.sources.index_table import read_index, write_index
 from rankweave.sources.readers import read_pages
 
@@ -121,3 +124,27 @@ def test_counting_combines_before_its_one_shuffle(spark):
     assert plan.count("Exchange") == 1
     assert "partial_count" in plan
     assert plan.count("regexp_replace") == 1
+
+
+def test_words_of_files_are_counted_where_their_page_is(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(terms, "COUNT_BYTES", 100, raising=False)
+    pages = [("A", "x y x"), ("B", "x"), ("A", "x z")]
+    spark.createDataFrame(pages, "page string, text string").write.parquet(str(tmp_path / "pages"))
+    index = build_index(spark.read.parquet(str(tmp_path / "pages")))
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") > plan.index("Generate")
+    assert rows(index) == [("x", "A", 3), ("x", "B", 1), ("y", "A", 1), ("z", "A", 1)]
+
+
+def test_index_is_written_in_as_many_files_as_its_rows_need(spark, postings, tmp_path, monkeypatch):
+    monkeypatch.setattr(index_table, "RANGE_ROWS", 5, raising=False)
+    write_index(postings, str(tmp_path / "index"), buckets=1)
+    assert len(list((tmp_path / "index").rglob("*.parquet"))) >= 5
+    assert rows(read_index(spark, str(tmp_path / "index")).select("term", "doc", "tf")) == rows(postings)
+
+
+def test_long_keys_are_stored_as_files(spark, postings):
+    long = long_keys(postings, "term", F.lit(1), 1)
+    assert long.inputFiles()
+    assert rows(long) == sorted((term, n) for term, n in Counter(p[0] for p in POSTINGS).items() if n > 1)
