@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankweave.functions.terms import Terms, query_terms, split_terms
+from rankweave.runtime import forget, stored
 
 # Part of the stored layout: lookups compute the bucket of a term again, from the number of buckets stored with it.
 BUCKET, BUCKETS = "bucket", "buckets"
 TERM_BUCKETS = 64
+# Rows that a task sorts and writes, whatever the number of all.
+RANGE_ROWS = 500_000
 # Terms that become a filter; more of them are joined.
 MAX_FILTER_TERMS = 200
 
@@ -30,17 +33,24 @@ def write_index(
 
 
 def write_buckets(rows: DataFrame, path: str, mode: str, buckets: int, folders: list[str], order: list[str]) -> None:
-    """Write rows with a ``term`` in directories by bucket, then by the columns ``folders``, sorted by term and ``order``."""
+    """Write rows with a ``term`` in directories by bucket, then by the columns ``folders``, sorted by term and ``order``.
+
+    The rows are stored first: they are counted, sampled for the ranges and then read, and there are as many ranges as
+    keep a task's rows few.
+    """
     count = F.lit(int(buckets))
     sort = [BUCKET, *folders, "term", *order]
+    rows = stored(rows, "unsorted")
+    ranges = max(1, -(-rows.count() // RANGE_ROWS))
     (
         rows.select("*", count.alias(BUCKETS), term_bucket(F.col("term"), count).alias(BUCKET))
-        .repartitionByRange(*sort)
+        .repartitionByRange(ranges, *sort)
         .sortWithinPartitions(*sort)
         .write.mode(mode)
         .partitionBy(BUCKETS, BUCKET, *folders)
         .parquet(path)
     )
+    forget(rows)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
