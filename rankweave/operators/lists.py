@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankweave.runtime import checkpoint, stored
+from rankweave.runtime import stored
 
 LIST_ENTRIES = 10_000
 
@@ -20,14 +20,14 @@ LIST_ENTRIES = 10_000
 def long_keys(rows: DataFrame, key: str, size: Column, max_list: int) -> DataFrame:
     """Keys with more than ``max_list`` entries: ``long(long_key, parts)``.
 
-    They are counted now and stored, so that a join with them can be split by
-    key wherever the rows are skewed, or broadcast if they turn out to be few.
+    They are counted now and stored as files, whose size is known, so that a join with them can be split by key
+    wherever the rows are skewed, and is a broadcast if they are few.
     """
     if max_list < 1:
         raise ValueError("max_list must be at least 1")
     sizes = rows.groupBy(F.col(key).alias("long_key")).agg(F.sum(size).alias("entries"))
     parts = F.ceil(F.col("entries") / max_list).cast("long")
-    return checkpoint(sizes.where(F.col("entries") > max_list).select("long_key", parts.alias("parts")))
+    return stored(sizes.where(F.col("entries") > max_list).select("long_key", parts.alias("parts")), "long")
 
 
 def with_list_parts(rows: DataFrame, key: str, long: DataFrame) -> DataFrame:

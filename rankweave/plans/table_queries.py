@@ -9,7 +9,7 @@ from rankweave.functions import markup
 from rankweave.operators import lookup, pages, rank, terms
 from rankweave.plans import table_inputs as inputs
 from rankweave.plans.jobs import build_index, index_dump, link_rank, rank_dump, search, search_files, search_index
-from rankweave.runtime import checkpoint
+from rankweave.runtime import stored
 from rankweave.sources import readers, writers
 from rankweave.sources.index_table import open_index, read_index, write_index
 from rankweave.sources.ranked_index import search_top_k as search_ranked
@@ -193,39 +193,39 @@ def postings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def posting_lists(spark: SparkSession, folder: str) -> DataFrame:
-    index = checkpoint(build_index(inputs.document_pages(spark, folder)))
+    index = stored(build_index(inputs.document_pages(spark, folder)), "postings")
     entries = F.transform("postings", lambda p: F.concat_ws(":", p["doc"], p["tf"]))
     return terms.posting_lists(index).select("term", "part", F.array_join(entries, " ").alias("postings"))
 
 
 def posting_parse(spark: SparkSession, folder: str) -> DataFrame:
-    index = checkpoint(build_index(inputs.document_pages(spark, folder)))
+    index = stored(build_index(inputs.document_pages(spark, folder)), "postings")
     return readers.parse_posting_lists(writers.posting_list_lines(terms.posting_lists(index)))
 
 
 def posting_file(spark: SparkSession, folder: str) -> DataFrame:
     path = inputs.fresh_path(spark, "lists")
-    index = checkpoint(build_index(inputs.document_pages(spark, folder)))
+    index = stored(build_index(inputs.document_pages(spark, folder)), "postings")
     writers.write_posting_lists(terms.posting_lists(index), path)
     return readers.read_posting_lists(spark, path)
 
 
 def posting_split(spark: SparkSession, folder: str) -> DataFrame:
     """Which posting lists are split into several rows."""
-    index = checkpoint(build_index(inputs.document_pages(spark, folder)))
+    index = stored(build_index(inputs.document_pages(spark, folder)), "postings")
     return _split_sizes(terms.posting_lists(index, max_list=SPLIT_AT), "term", "postings")
 
 
 def posting_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Split posting lists as lines, and their postings again."""
-    index = checkpoint(build_index(inputs.document_pages(spark, folder)))
+    index = stored(build_index(inputs.document_pages(spark, folder)), "postings")
     return readers.parse_posting_lists(writers.posting_list_lines(terms.posting_lists(index, max_list=SPLIT_AT)))
 
 
 def posting_colon(spark: SparkSession, folder: str) -> DataFrame:
     """Posting lists of documents with colons in their names, through lines."""
     named = inputs.document_pages(spark, folder).withColumn("page", F.concat(F.lit("a:b:"), "page"))
-    index = checkpoint(build_index(named))
+    index = stored(build_index(named), "postings")
     return readers.parse_posting_lists(writers.posting_list_lines(terms.posting_lists(index)))
 
 
@@ -357,7 +357,7 @@ def search_dump(spark: SparkSession, folder: str) -> DataFrame:
     dump = inputs.write_document_dump(spark, folder)
     paths = [inputs.fresh_path(spark, name) for name in ("ranks", "lists", "results")]
     rank_dump(spark, dump, paths[0])
-    index = checkpoint(build_index(pages.extract_pages(readers.read_pages(spark, dump))))
+    index = stored(build_index(pages.extract_pages(readers.read_pages(spark, dump))), "postings")
     writers.write_posting_lists(terms.posting_lists(index), paths[1])
     search_files(spark, FEW_TERMS, paths[1], paths[0], paths[2])
     parts = F.split("value", "\t", 2)
