@@ -92,13 +92,12 @@ def adjacency_ranks(adjacency: DataFrame) -> DataFrame:
 class Graph:
     """A graph laid out for the rounds, by the numbers of its pages.
 
-    ``pages(number, page)`` is the dictionary and ``links(src, dst, copies)`` the counted links. ``light(src, dst,
-    weight)`` are the weighted links, in ``buckets`` by source, but for those of the sources in ``hubs(hub, out)``, which
-    ``heavy(src, dst, weight)`` has in no order.
+    ``pages(number, page, links)`` is the dictionary, with the links of each page, duplicates included. ``light(src, dst,
+    copies, weight)`` are the counted and weighted links, in ``buckets`` by source, but for those of the sources in
+    ``hubs(hub, out)``, which ``heavy(src, dst, copies, weight)`` has in no order.
     """
 
     pages: DataFrame
-    links: DataFrame
     light: DataFrame
     heavy: DataFrame
     hubs: DataFrame
@@ -108,7 +107,11 @@ class Graph:
         """``links(src, dst, copies)`` by the names of the pages."""
         source = self.pages.select(F.col("number").alias("src"), F.col("page").alias("source"))
         target = self.pages.select(F.col("number").alias("dst"), F.col("page").alias("target"))
-        named = self.links.join(source, "src").join(target, "dst")
+        # Sources are named in place, in their buckets; only targets take a shuffle.
+        light = self.light.join(source.hint("shuffle_hash"), "src")
+        hubs = source.join(F.broadcast(self.hubs.select(F.col("hub").alias("src"))), "src")
+        links = light.unionByName(self.heavy.join(F.broadcast(hubs), "src")).select("source", "dst", "copies")
+        named = links.join(target.hint("shuffle_hash"), "dst")
         return named.select(F.col("source").alias("src"), F.col("target").alias("dst"), "copies")
 
     def numbered_ranks(self, ranks: DataFrame) -> DataFrame:
@@ -122,45 +125,59 @@ def _number(page: Column, bits: int) -> Column:
 
 
 def number_pages(edges: DataFrame, bits: int = NUMBER_BITS) -> tuple[DataFrame, DataFrame]:
-    """The pages of ``edges(src, dst)`` as ``pages(number, page)``, and ``others(page, number)``, those not numbered by hash.
+    """The pages of ``edges(src, dst)`` as ``pages(number, page, links)``, and ``others(page, number)``, those not numbered by hash.
 
     A page's number is a hash of its name, so no join is needed to find it. Where names share a hash, the first one
-    has it; the others, next to none, get negative numbers, which no hash has.
+    has it; the others, next to none, get negative numbers, which no hash has. ``links`` counts those of a page.
     """
-    ends = edges.select(F.explode(F.array("src", "dst")).alias("page")).distinct()
-    hashed = stored(ends.select(_number(F.col("page"), bits).alias("number"), "page"), "pages")
+    ends = edges.select(F.inline(F.array(*[F.struct(F.col(end).alias("page"), F.lit(n).alias("n")) for end, n in (("src", 1), ("dst", 0))])))
+    hashed = ends.groupBy("page").agg(F.sum("n").alias("links"))
+    hashed = stored(hashed.select(_number(F.col("page"), bits).alias("number"), "page", "links"), "pages")
     firsts = hashed.groupBy("number").agg(F.min("page").alias("first"), F.count("*").alias("names")).where("names > 1")
     later = hashed.join(firsts, "number").where("page <> first").select("page")
     others = stored(later.withColumn("number", -1 - F.monotonically_increasing_id()), "others")
     named = hashed.join(others.withColumnRenamed("number", "other"), "page", "left")
-    return named.select(F.coalesce("other", "number").alias("number"), "page"), others
+    return named.select(F.coalesce("other", "number").alias("number"), "page", "links"), others
+
+
+def _numbered(edges: DataFrame, others: DataFrame, bits: int) -> DataFrame:
+    """``edges(src, dst)`` by number."""
+    for end in ("src", "dst"):
+        other = others.select(F.col("page").alias(end), F.col("number").alias(f"{end}_number"))
+        edges = edges.join(other, end, "left").withColumn(f"{end}_number", F.coalesce(f"{end}_number", _number(F.col(end), bits)))
+    return edges.select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))
 
 
 def lay_out(edges: DataFrame, bits: int = NUMBER_BITS) -> Graph:
     """Number the pages, collapse duplicate links, weigh them, and put them into buckets by source for the rounds.
 
-    The layout is the same for every graph. Sources with more targets than an average bucket are its hubs: fewer than
-    there are buckets, whatever the graph. Their links are kept apart, and joined with a broadcast of their ranks.
+    The layout is the same for every graph. Sources with more targets than a bucket has edges on average are its hubs:
+    fewer than there are buckets, whatever the graph. Their links are kept apart, and joined with a broadcast of their
+    ranks. All other edges are moved once, to the bucket of their source, and counted and weighed there.
     """
     buckets = shuffle_partitions(edges.sparkSession)
     # The edges are read twice, and may come straight from a dump.
     edges = stored(edges.select("src", "dst"), "edges")
+    average = edges.count() / buckets
     pages, others = number_pages(edges, bits)
     pages = bucketed(pages.repartition(buckets, "number"), "pages", "number", buckets)
-    numbered = edges
-    for end in ("src", "dst"):
-        other = others.select(F.col("page").alias(end), F.col("number").alias(f"{end}_number"))
-        numbered = numbered.join(other, end, "left").withColumn(f"{end}_number", F.coalesce(f"{end}_number", _number(F.col(end), bits)))
-    links = stored(count_links(numbered.select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))), "links")
-    average = links.count() / buckets
-    sources = links.groupBy(F.col("src").alias("hub")).agg(F.sum("copies").alias("out"), F.count("*").alias("targets"))
-    hubs = stored(sources.where(F.col("targets") > average).select("hub", "out"), "hubs")
-    out = F.sum("copies").over(Window.partitionBy("src"))
-    light = links.join(F.broadcast(hubs), F.col("src") == F.col("hub"), "left_anti").repartition(buckets, "src")
-    light = light.select("src", "dst", (F.col("copies") / out).alias("weight"))
-    heavy = links.join(F.broadcast(hubs), F.col("src") == F.col("hub")).select("src", "dst", (F.col("copies") / F.col("out")).alias("weight"))
-    forget(edges)
-    return Graph(pages, links, bucketed(light, "light", "src", buckets), stored(heavy, "heavy"), hubs, buckets)
+    sizes = pages.select(F.col("number").alias("hub"), F.col("links").alias("out"))
+    # Sources with many edges, most of which may be copies, are counted with a combine and a shuffle by source and target.
+    busy = stored(pages.where(F.col("links") > average).select("page"), "busy")
+    names = F.broadcast(busy.withColumnRenamed("page", "src"))
+    copied = stored(count_links(_numbered(edges.join(names, "src"), others, bits)), "copied")
+    targets = copied.groupBy(F.col("src").alias("hub")).agg(F.count("*").alias("targets")).where(F.col("targets") > average)
+    hubs = stored(sizes.join(F.broadcast(targets.select("hub")), "hub"), "hubs")
+    of_hub = F.col("src") == F.col("hub")
+    weighed = ["src", "dst", "copies", (F.col("copies") / F.col("out")).alias("weight")]
+    heavy = stored(copied.join(F.broadcast(hubs), of_hub).select(*weighed), "heavy")
+    rest = _numbered(edges.join(names, "src", "left_anti"), others, bits).withColumn("copies", F.lit(1).cast("long"))
+    rest = rest.unionByName(copied.join(F.broadcast(hubs), of_hub, "left_anti")).repartition(buckets, "src")
+    links = rest.groupBy("src", "dst").agg(F.sum("copies").alias("copies"))
+    light = bucketed(links.join(sizes.hint("shuffle_hash"), of_hub).select(*weighed), "light", "src", buckets)
+    for table in (edges, copied, busy):
+        forget(table)
+    return Graph(pages, light, heavy, hubs, buckets)
 
 
 def _handed(graph: Graph, ranks: DataFrame | None, missing: float) -> DataFrame:

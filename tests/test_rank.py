@@ -249,3 +249,19 @@ def test_ranks_of_earlier_rounds_are_removed(spark):
     ranks = rank.rank_pages(graph, iterations=6)
     assert len({t.name for t in spark.catalog.listTables()} - before) == 1
     assert found(ranks) == pytest.approx(ranks_of(random_edges(2), 6), abs=1e-12)
+
+
+def test_links_are_named_by_one_shuffle(spark, conf):
+    conf(autoBroadcastJoinThreshold=-1, adaptive__enabled="false")
+    edges = hub_edges()
+    graph = rank.lay_out(spark.createDataFrame(edges, "src string, dst string"))
+    named = graph.named_links()
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    assert rows(named) == sorted((*edge, n) for edge, n in Counter(edges).items())
+
+
+def test_a_page_without_a_name_is_a_page(spark):
+    edges = [(None, "a"), ("a", None), ("a", "b")] + [(None, "b")] * 3000
+    graph = rank.lay_out(spark.createDataFrame(edges, "src string, dst string"))
+    assert found(rank.rank_pages(graph, iterations=3)) == pytest.approx(ranks_of(edges, 3), abs=1e-12)
