@@ -71,9 +71,12 @@ def rank_state(edges: DataFrame | Graph, ranks: DataFrame, max_list: int = LIST_
 
 
 def _link_lists(edges: DataFrame | Graph, max_list: int) -> tuple[DataFrame, DataFrame]:
-    # The links are read twice, and edges may come straight from a dump.
-    links = stored(edges.named_links() if isinstance(edges, Graph) else count_links(edges), "links")
-    long = long_keys(links, "src", F.col("copies"), max_list)
+    if isinstance(edges, Graph):
+        links, sizes = edges.named_links(), edges.pages.select(F.col("page").alias("src"), F.col("links").alias("copies"))
+    else:
+        # The links are read twice, and edges may come straight from a dump.
+        links = sizes = stored(count_links(edges), "links")
+    long = long_keys(sizes, "src", F.col("copies"), max_list)
     lists = collect_copies(links, "src", "dst", "copies", "links", long, max_list)
     return lists.withColumnRenamed("src", "page"), long
 

@@ -261,6 +261,17 @@ def test_links_are_named_by_one_shuffle(spark, conf):
     assert rows(named) == sorted((*edge, n) for edge, n in Counter(edges).items())
 
 
+def test_names_and_copies_of_a_state_are_not_stored(spark, monkeypatch):
+    names = []
+    keep = rank.stored
+    monkeypatch.setattr(rank, "stored", lambda df, name: names.append(name) or keep(df, name))
+    edges = hub_edges()
+    graph = rank.lay_out(spark.createDataFrame(edges, "src string, dst string"))
+    state = rank.rank_state(graph, rank.rank_pages(graph), 50)
+    assert "links" not in names
+    assert rows(rank.adjacency_edges(state)) == sorted(edges)
+
+
 def test_a_page_without_a_name_is_a_page(spark):
     edges = [(None, "a"), ("a", None), ("a", "b")] + [(None, "b")] * 3000
     graph = rank.lay_out(spark.createDataFrame(edges, "src string, dst string"))
