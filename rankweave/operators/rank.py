@@ -23,6 +23,9 @@ ITERATIONS = 2
 # Bits of a hash that make the number of a page.
 NUMBER_BITS = 62
 
+# Names that are handed to all tasks, if no more are numbered otherwise.
+BROADCAST_NAMES = 100_000
+
 
 def clamp_damping(damping: float) -> float:
     return max(min(float(damping), 1.0), 0.0)
@@ -144,9 +147,10 @@ def number_pages(edges: DataFrame, bits: int = NUMBER_BITS) -> tuple[DataFrame,
 
 
 def _numbered(edges: DataFrame, others: DataFrame, bits: int) -> DataFrame:
-    """``edges(src, dst)`` by number."""
+    """``edges(src, dst)`` by number. Many ``others`` are joined by hash tables, which spares sorting the edges twice."""
+    join = "broadcast" if others.count() <= BROADCAST_NAMES else "shuffle_hash"
     for end in ("src", "dst"):
-        other = others.select(F.col("page").alias(end), F.col("number").alias(f"{end}_number"))
+        other = others.select(F.col("page").alias(end), F.col("number").alias(f"{end}_number")).hint(join)
         edges = edges.join(other, end, "left").withColumn(f"{end}_number", F.coalesce(f"{end}_number", _number(F.col(end), bits)))
     return edges.select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))
 

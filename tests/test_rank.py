@@ -272,6 +272,21 @@ def test_names_and_copies_of_a_state_are_not_stored(spark, monkeypatch):
     assert rows(rank.adjacency_edges(state)) == sorted(edges)
 
 
+def test_many_names_that_share_a_hash_are_joined_without_a_sort(spark, conf, monkeypatch):
+    conf(autoBroadcastJoinThreshold=-1, adaptive__enabled="false")
+    monkeypatch.setattr(rank, "BROADCAST_NAMES", 0, raising=False)
+    edges = random_edges(9) + [("n1", "n2")] * 2000
+    df = spark.createDataFrame(edges, "src string, dst string")
+    written = []
+    keep = rank.bucketed
+    monkeypatch.setattr(rank, "bucketed", lambda df, name, *a: written.append((name, df)) or keep(df, name, *a))
+    graph = rank.lay_out(df, bits=2)
+    light = dict(written)["light"]._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in light and "SortMergeJoin" not in light
+    assert rows(graph.named_links()) == sorted((*edge, n) for edge, n in Counter(edges).items())
+    assert found(rank.rank_pages(graph, iterations=4)) == pytest.approx(ranks_of(edges, 4), abs=1e-12)
+
+
 def test_a_page_without_a_name_is_a_page(spark):
     edges = [(None, "a"), ("a", None), ("a", "b")] + [(None, "b")] * 3000
     graph = rank.lay_out(spark.createDataFrame(edges, "src string, dst string"))
