@@ -168,17 +168,17 @@ def lay_out(edges: DataFrame, bits: int = NUMBER_BITS) -> Graph:
     average = edges.count() / buckets
     pages, others = number_pages(edges, bits)
     pages = bucketed(pages.repartition(buckets, "number"), "pages", "number", buckets)
-    sizes = pages.select(F.col("number").alias("hub"), F.col("links").alias("out"))
+    sizes = pages.groupBy(F.col("number").alias("hub")).agg(F.sum("links").alias("out"))
     # Sources with many edges, most of which may be copies, are counted with a combine and a shuffle by source and target.
     busy = stored(pages.where(F.col("links") > average).select("page"), "busy")
-    names = F.broadcast(busy.withColumnRenamed("page", "src"))
-    copied = stored(count_links(_numbered(edges.join(names, "src"), others, bits)), "copied")
+    names, of_busy = F.broadcast(busy), F.col("src").eqNullSafe(F.col("page"))
+    copied = stored(count_links(_numbered(edges.join(names, of_busy, "left_semi"), others, bits)), "copied")
     targets = copied.groupBy(F.col("src").alias("hub")).agg(F.count("*").alias("targets")).where(F.col("targets") > average)
     hubs = stored(sizes.join(F.broadcast(targets.select("hub")), "hub"), "hubs")
     of_hub = F.col("src") == F.col("hub")
     weighed = ["src", "dst", "copies", (F.col("copies") / F.col("out")).alias("weight")]
     heavy = stored(copied.join(F.broadcast(hubs), of_hub).select(*weighed), "heavy")
-    rest = _numbered(edges.join(names, "src", "left_anti"), others, bits).withColumn("copies", F.lit(1).cast("long"))
+    rest = _numbered(edges.join(names, of_busy, "left_anti"), others, bits).withColumn("copies", F.lit(1).cast("long"))
     rest = rest.unionByName(copied.join(F.broadcast(hubs), of_hub, "left_anti")).repartition(buckets, "src")
     links = rest.groupBy("src", "dst").agg(F.sum("copies").alias("copies"))
     light = bucketed(links.join(sizes.hint("shuffle_hash"), of_hub).select(*weighed), "light", "src", buckets)

@@ -291,3 +291,12 @@ def test_a_page_without_a_name_is_a_page(spark):
     edges = [(None, "a"), ("a", None), ("a", "b")] + [(None, "b")] * 3000
     graph = rank.lay_out(spark.createDataFrame(edges, "src string, dst string"))
     assert found(rank.rank_pages(graph, iterations=3)) == pytest.approx(ranks_of(edges, 3), abs=1e-12)
+
+
+def test_pages_that_share_a_number_do_not_multiply_links(spark):
+    # A page without a name keeps the number of its hash, even where it shares it.
+    edges = [(None, "a"), ("a", None), ("a", "b"), ("b", "a")]
+    graph = rank.lay_out(spark.createDataFrame(edges, "src string, dst string"), bits=1)
+    out = graph.light.unionByName(graph.heavy).groupBy("src").agg(F.sum("copies").alias("copies"), F.sum("weight").alias("weight"))
+    assert sum(row["copies"] for row in out.collect()) == 4
+    assert [row["weight"] for row in out.collect()] == pytest.approx([1.0] * out.count())
