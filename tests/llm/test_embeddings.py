@@ -1,9 +1,16 @@
 from __future__ import annotations
 
+import os
+import threading
+from pathlib import Path
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from rankweave.llm.embeddings import Quantiser, fit_quantiser, link_embeddings, linked_in_list
+from rankweave.llm import embeddings
+from rankweave.llm.embeddings import Quantiser, fit_quantiser, in_lists, link_embeddings, linked_in_list, sketch
+from rankweave.runtime import shared_folder
 
 
 def vectors(n=600, width=32):
@@ -110,3 +117,94 @@ def test_measuring_many_lists_takes_bounded_memory():
     assert len(lists) == 4000 and min(map(len, lists)) >= 12
     nearest = (unit[:50] @ q.coarse.T).argmax(1)
     assert [asked[0] for asked in lists[:50]] == nearest.tolist()
+
+
+def test_disk_follows_the_vectors_and_not_what_they_ask(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "PASS_BYTES", 0, raising=False)
+    rng = np.random.RandomState(6)
+    x = rng.standard_normal((12_000, 64)).astype(np.float32)
+    x[::2] = x[1::2] + 0.02 * rng.standard_normal((6_000, 64)).astype(np.float32)
+    rows = pa.table({"vec_id": np.arange(len(x)), "embedding": pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, 64, dtype=np.int32)), pa.array(x.ravel()))})
+    table = spark.createDataFrame(rows)
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    folders = [*local, shared_folder(spark).removeprefix("file://")]
+
+    def used():
+        total = 0
+        for folder in folders:
+            for file in Path(folder).rglob("*"):
+                if not file.name.startswith("broadcast"):
+                    try:
+                        total += os.stat(file).st_size if file.is_file() else 0
+                    except OSError:
+                        pass
+        return total
+
+    before, most, ended = used(), [0], threading.Event()
+
+    def watch():
+        while not ended.wait(0.02):
+            most[0] = max(most[0], used() - before)
+
+    watching = threading.Thread(target=watch)
+    watching.start()
+    try:
+        found = link_embeddings(table).where("n_links > 0").count()
+    finally:
+        ended.set()
+        watching.join()
+    assert found == len(x)
+    # Each vector asks 12 of 60 lists. What does not follow the vectors is the ends of small files.
+    assert most[0] < 8 * x.nbytes
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_passes_and_parts_of_lists_lose_no_link_in_a_dense_group(spark, monkeypatch, kind):
+    monkeypatch.setattr(embeddings, "PASS_BYTES", 0, raising=False)
+    rng = np.random.RandomState(10)
+    centre = rng.standard_normal(24)
+    dense = centre / np.linalg.norm(centre) + rng.choice([0.2, 0.35], (500, 1)) * rng.standard_normal((500, 24)) / np.sqrt(24)
+    x = np.concatenate([dense, 3 * dense[:40], rng.standard_normal((300, 24))])
+    x = x.astype(np.float32).astype(float) if kind == "float" else x
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    schema = f"vec_id bigint, embedding array<{kind}>"
+    found = {r["vec_id"]: r for r in link_embeddings(spark.createDataFrame(rows, schema), list_size=20, block=60).collect()}
+    degree, component = by_hand(rows)
+    assert [found[i]["n_links"] for i in range(540)] == degree[:540].tolist()
+    assert [found[i]["component_id"] for i in range(540)] == component[:540].tolist()
+    assert all(found[i]["n_links"] <= degree[i] for i in range(len(rows)))
+
+
+def test_sketches_are_as_near_as_they_say():
+    rng = np.random.RandomState(11)
+    x = rng.standard_normal((200, 48)) * np.where(rng.rand(200, 48) < 0.03, 40, 1)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    whole, scale, off = sketch(x)
+    assert whole.dtype == np.int8
+    assert (np.linalg.norm(x - whole * scale[:, None].astype(float), axis=1) <= off).all() and off.max() < 0.05
+
+
+def test_look_up_is_the_distance_to_what_the_codes_stand_for():
+    rng = np.random.RandomState(12)
+    x = rng.standard_normal((150, 20))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q = fit_quantiser(x, 3)
+    codes, error = q.encode(x - q.coarse[1])
+    decoded = q.coarse[1] + np.concatenate([q.fine[s][codes[:, s], : b - a] for s, (a, b) in enumerate(zip(q.cuts, q.cuts[1:]))], axis=1)
+    exact = ((x[None, :, :] - decoded[:, None, :]) ** 2).sum(2)
+    assert np.abs(q.lookup(x, 1, codes) - exact).max() < embeddings.slack(20)
+    assert np.allclose(np.sqrt(((x - decoded) ** 2).sum(1)), error)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_entries_of_a_list_come_together_and_queries_as_they_are_read(size):
+    rows = [(1, True, 10), (1, True, 11), (1, False, 12), (1, False, 13), (2, False, 14), (3, True, 15), (5, True, 16), (5, True, 17), (5, False, 18), (6, True, 19)]
+    whole = pa.table({n: pa.array(c) for n, c in zip(("list", "entry", "cls"), zip(*rows))})
+    got = {}
+    for place, entries, queries in in_lists(iter(whole.to_batches(max_chunksize=size))):
+        if entries is not None:
+            assert place not in got
+            got[place] = (entries.column("cls").to_pylist(), [])
+        if queries is not None:
+            got[place][1].extend(queries.column("cls").to_pylist())
+    assert got == {1: ([10, 11], [12, 13]), 3: ([15], []), 5: ([16, 17], [18]), 6: ([19], [])}
